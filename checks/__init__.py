@@ -1,0 +1,13 @@
+"""Registered queries: each one a Spark callable and, where SQL can say it, the SQL."""
+
+from . import catalog, compare, files, metrics, stats
+
+MODULES = (metrics, compare, catalog, stats, files)
+
+
+def all_queries():
+    return {name: check for module in MODULES for name, check in module.QUERIES.items()}
+
+
+def all_sql():
+    return {name: sql.strip() for module in MODULES for name, sql in module.SQL.items()}

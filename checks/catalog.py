@@ -1,0 +1,131 @@
+"""Statistics from metastore relations."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tallymatch.operators import (
+    catalog_stats as stats_of_catalog,
+    params_wide,
+    partition_stats,
+    table_level_stats,
+)
+from tallymatch.plans import reconcile_catalogs
+
+from .inputs import METASTORE_SQL, metastore
+
+MONTH = "1998-03"
+DAY = "19980315"
+
+
+def catalog_params_pivot(spark, sf):
+    return params_wide(metastore(spark, sf).TABLE_PARAMS, "TBL_ID")
+
+
+def catalog_unpartitioned(spark, sf):
+    return table_level_stats(metastore(spark, sf), DAY)
+
+
+def catalog_partitions(spark, sf):
+    return partition_stats(metastore(spark, sf), MONTH)
+
+
+def catalog_partitions_day(spark, sf):
+    return partition_stats(metastore(spark, sf), DAY)
+
+
+def catalog_stats(spark, sf):
+    return stats_of_catalog(metastore(spark, sf), DAY)
+
+
+def catalog_rowcount_compare(spark, sf):
+    """A second catalog in which managed tables lost their parameters."""
+    old = metastore(spark, sf)
+    managed = old.TBLS.where(F.col("TBL_TYPE") == "MANAGED_TABLE").select("TBL_ID")
+    new = type(old)(
+        DBS=old.DBS,
+        TBLS=old.TBLS,
+        PARTITION_KEYS=old.PARTITION_KEYS,
+        TABLE_PARAMS=old.TABLE_PARAMS.join(managed, "TBL_ID", "left_anti"),
+        PARTITIONS=old.PARTITIONS.join(managed, "TBL_ID", "left_anti"),
+        PARTITION_PARAMS=old.PARTITION_PARAMS,
+    )
+    return reconcile_catalogs(old, new, MONTH)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        catalog_params_pivot,
+        catalog_unpartitioned,
+        catalog_partitions,
+        catalog_partitions_day,
+        catalog_stats,
+        catalog_rowcount_compare,
+    )
+}
+
+_PARAM = "max(CASE WHEN PARAM_KEY = '{k}' THEN CAST(PARAM_VALUE AS BIGINT) END) AS {m}"
+_WIDE = ", ".join(
+    _PARAM.format(k=k, m=m)
+    for m, k in (
+        ("num_rows", "numRows"),
+        ("total_size", "totalSize"),
+        ("num_files", "numFiles"),
+        ("raw_data_size", "rawDataSize"),
+    )
+)
+
+
+def _left_params(params: str, id_col: str, owner: str) -> str:
+    """The statistics as one left join per parameter."""
+    return "\n".join(
+        f"LEFT JOIN {params} {alias} ON {owner}.{id_col} = {alias}.{id_col} AND {alias}.PARAM_KEY = '{key}'"
+        for alias, key in (("a", "numRows"), ("b", "totalSize"), ("c", "numFiles"), ("e", "rawDataSize"))
+    )
+
+
+_VALUES = """CAST(a.PARAM_VALUE AS BIGINT) AS num_rows, CAST(b.PARAM_VALUE AS BIGINT) AS total_size,
+       CAST(c.PARAM_VALUE AS BIGINT) AS num_files, CAST(e.PARAM_VALUE AS BIGINT) AS raw_data_size"""
+
+
+def _tables(date: str) -> str:
+    return f"""
+SELECT d.NAME AS database_name, t.TBL_NAME AS table_name, t.TBL_TYPE AS table_type,
+       '' AS partition_name, {_VALUES}, t.LAST_ACCESS_TIME AS last_access_time, '{date}' AS data_dt
+FROM TBLS t JOIN DBS d ON t.DB_ID = d.DB_ID
+{_left_params("TABLE_PARAMS", "TBL_ID", "t")}
+WHERE t.TBL_ID NOT IN (SELECT TBL_ID FROM PARTITION_KEYS)"""
+
+
+def _partitions(date: str, pattern: str) -> str:
+    return f"""
+SELECT d.NAME AS database_name, t.TBL_NAME AS table_name, t.TBL_TYPE AS table_type,
+       p.PART_NAME AS partition_name, {_VALUES}, p.LAST_ACCESS_TIME AS last_access_time,
+       '{date}' AS data_dt
+FROM TBLS t JOIN DBS d ON t.DB_ID = d.DB_ID JOIN PARTITIONS p ON t.TBL_ID = p.TBL_ID
+{_left_params("PARTITION_PARAMS", "PART_ID", "p")}
+WHERE p.PART_NAME LIKE '%={pattern}%'"""
+
+
+SQL = {
+    "catalog_params_pivot": f"""
+WITH {METASTORE_SQL}
+SELECT TBL_ID, {_WIDE} FROM TABLE_PARAMS
+WHERE PARAM_KEY IN ('numRows', 'totalSize', 'numFiles', 'rawDataSize') GROUP BY TBL_ID""",
+    "catalog_unpartitioned": f"WITH {METASTORE_SQL} {_tables(DAY)}",
+    "catalog_partitions": f"WITH {METASTORE_SQL} {_partitions(MONTH, MONTH)}",
+    "catalog_partitions_day": f"WITH {METASTORE_SQL} {_partitions(DAY, '1998-03-15')}",
+    "catalog_stats": f"""
+WITH {METASTORE_SQL} {_tables(DAY)} UNION ALL {_partitions(DAY, '1998-03-15')}""",
+    "catalog_rowcount_compare": f"""
+WITH {METASTORE_SQL},
+stats AS ({_tables(MONTH)} UNION ALL {_partitions(MONTH, MONTH)})
+SELECT database_name, table_name, nullif(partition_name, '') AS partition_name,
+       'num_rows' AS metric_name, num_rows AS old_value,
+       CASE WHEN table_type = 'MANAGED_TABLE' THEN NULL ELSE num_rows END AS new_value,
+       CASE WHEN table_type = 'MANAGED_TABLE' THEN 0 ELSE coalesce(num_rows, 0) END
+         - coalesce(num_rows, 0) AS diff_value,
+       data_dt
+FROM stats""",
+}

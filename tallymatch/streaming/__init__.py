@@ -1,0 +1 @@
+"""Intentionally empty: metrics are batch by data date and no streaming operator exists."""
