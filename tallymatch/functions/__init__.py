@@ -1,7 +1,7 @@
 """Row-level rules as column expressions; all of them run inside codegen."""
 
 from .numbers import or_zero, row_count_diff, to_long
-from .text import as_missing, blank_to_null, dashed_date, dashed_date_text, name_col
+from .text import as_missing, blank_to_null, dashed_date, dashed_date_text, name_col, quoted
 from .verdict import (
     ENGLISH,
     ORIGINAL,
@@ -27,6 +27,7 @@ __all__ = [
     "name_col",
     "numeric",
     "or_zero",
+    "quoted",
     "row_count_diff",
     "stats_status",
     "to_long",

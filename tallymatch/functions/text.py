@@ -6,9 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(name: str) -> str:
+    """A column name as written in an expression, even if it holds dots or back-ticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def name_col(name: str) -> Column:
-    """Column by its exact name, even if that name holds dots or back-ticks."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its exact name."""
+    return F.col(quoted(name))
 
 
 def blank_to_null(c: Column) -> Column:

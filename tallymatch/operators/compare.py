@@ -19,7 +19,7 @@ from ..functions import (
     stats_status,
     to_long,
 )
-from .pairing import pair_sides, pair_tagged
+from .pairing import IS_OLD, pair_sides, pair_tagged, tag_sides
 from .reshape import normalise_metrics
 
 _METRIC_KEYS = ("table_name", "partition_col", "metric_name", "data_dt")
@@ -27,15 +27,16 @@ STATS_KEY = ("database_name", "table_name", "partition_name")
 TABLE_KEY = ("database_name", "table_name")
 
 
-def _judge(pairs: DataFrame, exact_scale: int | None, wording: ReasonText) -> DataFrame:
+def _compare(
+    rows: DataFrame, is_old: Column, normalise: bool, exact_scale: int | None, wording: ReasonText
+) -> DataFrame:
+    if normalise:
+        rows = normalise_metrics(rows)
+    pairs = pair_tagged(rows, is_old, _METRIC_KEYS, ("value",), ("computed_at",))
     old, new = F.col("old_value"), F.col("new_value")
     diff = metric_diff(old, new, exact_scale)
     return (
-        pairs.select(
-            *_METRIC_KEYS,
-            F.col(M.OLD)["value"].alias("old_value"),
-            F.col(M.NEW)["value"].alias("new_value"),
-        )
+        pairs.selectExpr(*_METRIC_KEYS, "old.value as old_value", "new.value as new_value")
         .withColumn("status", metric_status(old, new, exact_scale))
         .select(
             *_METRIC_KEYS,
@@ -63,10 +64,8 @@ def compare_metrics(
     the spellings of missing on both sides first; without it the word ``NULL``
     is a (non-numeric) value and a blank partition column is not a NULL one.
     """
-    if normalise:
-        old, new = normalise_metrics(old), normalise_metrics(new)
-    pairs = pair_sides(old, new, _METRIC_KEYS, ("value",), ("computed_at",))
-    return _judge(pairs, exact_scale, wording)
+    rows = tag_sides(old, new, (*_METRIC_KEYS, "value", "computed_at"))
+    return _compare(rows, F.col(IS_OLD), normalise, exact_scale, wording)
 
 
 def compare_metric_slices(
@@ -87,11 +86,7 @@ def compare_metric_slices(
     rows = summary.where(F.col("cluster").isin(old, new))
     if data_dt is not None:
         rows = rows.where(F.col("data_dt") == data_dt)
-    if normalise:
-        rows = normalise_metrics(rows)
-    is_old = F.col("cluster") == old
-    pairs = pair_tagged(rows, is_old, _METRIC_KEYS, ("value",), ("computed_at",))
-    return _judge(pairs, exact_scale, wording)
+    return _compare(rows, F.col("cluster") == old, normalise, exact_scale, wording)
 
 
 def _prefer_old(column: str) -> Column:

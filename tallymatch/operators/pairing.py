@@ -20,10 +20,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import name_col
+from ..functions import name_col, quoted
 from ..model import NEW, OLD
 
-_SIDE = "_is_old"
+IS_OLD = "_is_old"
 
 
 def _version(order: Sequence[str], payload: Sequence[str]) -> Column:
@@ -51,6 +51,14 @@ def pair_tagged(
     )
 
 
+def tag_sides(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Both sides in one frame, told apart by ``IS_OLD``."""
+    names = [quoted(c) for c in columns]
+    return old.selectExpr(*names, f"true as {IS_OLD}").unionByName(
+        new.selectExpr(*names, f"false as {IS_OLD}")
+    )
+
+
 def pair_sides(
     old: DataFrame,
     new: DataFrame,
@@ -59,12 +67,8 @@ def pair_sides(
     order: Sequence[str] = (),
 ) -> DataFrame:
     """Full outer match of two frames."""
-    names = list(dict.fromkeys([*keys, *order, *payload]))
-    columns = [name_col(n) for n in names]
-    tagged = old.select(*columns, F.lit(True).alias(_SIDE)).unionByName(
-        new.select(*columns, F.lit(False).alias(_SIDE))
-    )
-    return pair_tagged(tagged, F.col(_SIDE), keys, payload, order)
+    columns = list(dict.fromkeys([*keys, *order, *payload]))
+    return pair_tagged(tag_sides(old, new, columns), F.col(IS_OLD), keys, payload, order)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

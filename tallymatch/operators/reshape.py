@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import as_missing, blank_to_null, name_col
+from ..functions import as_missing, blank_to_null, quoted
 from ..model import BASE_COLUMNS, METRIC_SCHEMA
 
 
@@ -20,15 +20,26 @@ def empty_metrics(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], METRIC_SCHEMA)
 
 
+def _typed(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """Select expressions that bring columns to their type in the long schema.
+
+    Absent columns become NULL (U2); columns of the right type are left alone.
+    """
+    types = {f.name.lower(): f.dataType for f in df.schema.fields}
+    expressions = []
+    for name in names:
+        want = METRIC_SCHEMA[name].dataType
+        if types.get(name) == want:
+            expressions.append(name)
+        else:
+            source = name if name in types else "null"
+            expressions.append(f"cast({source} as {want.simpleString()}) as {name}")
+    return expressions
+
+
 def as_metric_rows(df: DataFrame) -> DataFrame:
-    """Bring a frame to the long metric schema; absent columns become NULL."""
-    have = {c.lower() for c in df.columns}
-    return df.select(
-        *[
-            (name_col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in METRIC_SCHEMA.fields
-        ]
-    )
+    """Bring a frame to the long metric schema, by column name."""
+    return df.selectExpr(*_typed(df, METRIC_SCHEMA.names))
 
 
 def unpivot_metrics(wide: DataFrame, cluster: str) -> DataFrame:
@@ -40,14 +51,13 @@ def unpivot_metrics(wide: DataFrame, cluster: str) -> DataFrame:
     metrics = metric_names(wide)
     if not metrics:
         return empty_metrics(wide.sparkSession)
-    have = {c.lower() for c in wide.columns}
-    base = [c for c in BASE_COLUMNS if c in have]
-    as_text = wide.select(
-        *[name_col(c).alias(c) for c in base],
-        *[name_col(m).cast("string").alias(m) for m in metrics],
+    as_text = wide.selectExpr(
+        *_typed(wide, BASE_COLUMNS), *[f"cast({quoted(m)} as string) as {quoted(m)}" for m in metrics]
+    )
+    long = as_text.unpivot(
+        list(BASE_COLUMNS), [quoted(m) for m in metrics], "metric_name", "value"
     )
-    long = as_text.unpivot(base, [name_col(m) for m in metrics], "metric_name", "value")
-    return as_metric_rows(long.withColumn("cluster", F.lit(cluster)))
+    return long.withColumn("cluster", F.lit(cluster)).select(*METRIC_SCHEMA.names)
 
 
 def normalise_metrics(long: DataFrame) -> DataFrame:
