@@ -34,7 +34,7 @@ def metric_columns(spec: TableSpec, cast_override: str | None = None) -> list[Co
         F.try_sum(name_col(f.name).try_cast(cast_override or f.type)).alias(f.metric)
         for f in spec.summed
     ]
-    return [F.count(F.lit(1)).alias(ROW_COUNT), *sums]
+    return [F.count(F.lit(1)).alias(ROW_COUNT), *sums] if spec.count_rows else sums
 
 
 def on_date(df: DataFrame, partition_col: str, data_dt: str) -> DataFrame:
@@ -107,7 +107,6 @@ def metrics_by_partition(
             F.col("data_dt").cast("string").alias("data_dt"),
             F.lit(part).alias("partition_col"),
             _stamp(computed_at).alias("computed_at"),
-            ROW_COUNT,
-            *[name_col(f.metric) for f in spec.summed],
+            *[name_col(m) for m in spec.metrics],
         )
     )

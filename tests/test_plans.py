@@ -11,6 +11,7 @@ from tallymatch import TableSpec
 from tallymatch import model as M
 from tallymatch.plans import (
     collect_metrics,
+    collect_metrics_by_partition,
     collect_metrics_sql,
     compare_stored,
     ingest_old,
@@ -140,3 +141,19 @@ def test_each_side_is_scanned_once(spark, tables, folder):
     df = spark.read.parquet(f"{folder}/a")
     plan = plan_of(reconcile_partitions(spark, SPECS[:1], {"shop.a": df}, {"shop.a": df}))
     assert plan.count("FileScan") == 2 and plan.count("Exchange") == 3 and "Join" not in plan
+
+
+def test_narrow_specs_give_the_same_metrics(spark):
+    columns = [f"c{i}" for i in range(7)]
+    df = spark.range(20).selectExpr("cast(id % 2 as string) dt", *[f"cast(id * {i} as decimal(9,2)) c{i}" for i in range(7)])
+    for part in ((), ("dt",)):
+        spec = TableSpec("shop.wide", part, TableSpec.of("x", (), columns).fields)
+        narrow = spec.narrow(3)
+        assert [len(s.metrics) for s in narrow] == [4, 3, 1] and spec.narrow(7) == [spec]
+        frames = {"shop.wide": df}
+        one = collect_metrics(spark, [spec], "1", "old", tables=frames, computed_at=AT).metrics
+        many = collect_metrics(spark, narrow, "1", "old", tables=frames, computed_at=AT).metrics
+        assert rows(one) == rows(many)
+    one = collect_metrics_by_partition(spark, [spec], "old", tables=frames, computed_at=AT).metrics
+    many = collect_metrics_by_partition(spark, narrow, "old", tables=frames, computed_at=AT).metrics
+    assert rows(one) == rows(many) and one.count() == 16
