@@ -65,54 +65,48 @@ QUERIES = {
     )
 }
 
-_PARAM = "max(CASE WHEN PARAM_KEY = '{k}' THEN CAST(PARAM_VALUE AS BIGINT) END) AS {m}"
-_WIDE = ", ".join(
-    _PARAM.format(k=k, m=m)
-    for m, k in (
-        ("num_rows", "numRows"),
-        ("total_size", "totalSize"),
-        ("num_files", "numFiles"),
-        ("raw_data_size", "rawDataSize"),
-    )
-)
+_KEYS = {
+    "num_rows": "numRows",
+    "total_size": "totalSize",
+    "num_files": "numFiles",
+    "raw_data_size": "rawDataSize",
+}
 
 
-def _left_params(params: str, id_col: str, owner: str) -> str:
-    """The statistics as one left join per parameter."""
-    return "\n".join(
-        f"LEFT JOIN {params} {alias} ON {owner}.{id_col} = {alias}.{id_col} AND {alias}.PARAM_KEY = '{key}'"
-        for alias, key in (("a", "numRows"), ("b", "totalSize"), ("c", "numFiles"), ("e", "rawDataSize"))
+def _facts(params: str, id_col: str) -> str:
+    numbers = ", ".join(
+        f"max(CAST(PARAM_VALUE AS BIGINT)) FILTER (PARAM_KEY = '{k}') AS {m}" for m, k in _KEYS.items()
     )
+    return f"SELECT {id_col}, {numbers} FROM {params} GROUP BY {id_col}"
 
 
-_VALUES = """CAST(a.PARAM_VALUE AS BIGINT) AS num_rows, CAST(b.PARAM_VALUE AS BIGINT) AS total_size,
-       CAST(c.PARAM_VALUE AS BIGINT) AS num_files, CAST(e.PARAM_VALUE AS BIGINT) AS raw_data_size"""
+def _stats(owner: str, params: str, id_col: str, partition: str, access: str, date: str) -> str:
+    return f"""
+SELECT NAME AS database_name, TBL_NAME AS table_name, TBL_TYPE AS table_type,
+       {partition} AS partition_name, {", ".join(_KEYS)}, {access} AS last_access_time,
+       '{date}' AS data_dt
+FROM {owner} INNER JOIN DBS USING (DB_ID)
+LEFT OUTER JOIN ({_facts(params, id_col)}) USING ({id_col})"""
 
 
 def _tables(date: str) -> str:
-    return f"""
-SELECT d.NAME AS database_name, t.TBL_NAME AS table_name, t.TBL_TYPE AS table_type,
-       '' AS partition_name, {_VALUES}, t.LAST_ACCESS_TIME AS last_access_time, '{date}' AS data_dt
-FROM TBLS t JOIN DBS d ON t.DB_ID = d.DB_ID
-{_left_params("TABLE_PARAMS", "TBL_ID", "t")}
-WHERE t.TBL_ID NOT IN (SELECT TBL_ID FROM PARTITION_KEYS)"""
+    return (
+        _stats("TBLS", "TABLE_PARAMS", "TBL_ID", "''", "LAST_ACCESS_TIME", date)
+        + "\nWHERE TBL_ID NOT IN (SELECT TBL_ID FROM PARTITION_KEYS)"
+    )
 
 
 def _partitions(date: str, pattern: str) -> str:
-    return f"""
-SELECT d.NAME AS database_name, t.TBL_NAME AS table_name, t.TBL_TYPE AS table_type,
-       p.PART_NAME AS partition_name, {_VALUES}, p.LAST_ACCESS_TIME AS last_access_time,
-       '{date}' AS data_dt
-FROM TBLS t JOIN DBS d ON t.DB_ID = d.DB_ID JOIN PARTITIONS p ON t.TBL_ID = p.TBL_ID
-{_left_params("PARTITION_PARAMS", "PART_ID", "p")}
-WHERE p.PART_NAME LIKE '%={pattern}%'"""
+    owner = "(SELECT * EXCLUDE (LAST_ACCESS_TIME) FROM TBLS) INNER JOIN PARTITIONS USING (TBL_ID)"
+    return (
+        _stats(owner, "PARTITION_PARAMS", "PART_ID", "PART_NAME", "LAST_ACCESS_TIME", date)
+        + f"\nWHERE contains(PART_NAME, '={pattern}')"
+    )
 
 
 SQL = {
     "catalog_params_pivot": f"""
-WITH {METASTORE_SQL}
-SELECT TBL_ID, {_WIDE} FROM TABLE_PARAMS
-WHERE PARAM_KEY IN ('numRows', 'totalSize', 'numFiles', 'rawDataSize') GROUP BY TBL_ID""",
+WITH {METASTORE_SQL} {_facts("TABLE_PARAMS", "TBL_ID")}""",
     "catalog_unpartitioned": f"WITH {METASTORE_SQL} {_tables(DAY)}",
     "catalog_partitions": f"WITH {METASTORE_SQL} {_partitions(MONTH, MONTH)}",
     "catalog_partitions_day": f"WITH {METASTORE_SQL} {_partitions(DAY, '1998-03-15')}",

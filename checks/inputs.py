@@ -104,11 +104,11 @@ pairs AS (
 
 
 def status_sql(old: str, new: str, number: str = "DOUBLE") -> str:
+    equal = f"TRY_CAST({old} AS {number}) = TRY_CAST({new} AS {number})"
     return (
-        f"CASE WHEN {old} IS NULL OR {old} = '' THEN 'MISSING_OLD' "
-        f"WHEN {new} IS NULL OR {new} = '' THEN 'MISSING_NEW' "
-        f"WHEN TRY_CAST({old} AS {number}) = TRY_CAST({new} AS {number}) THEN 'PASS' "
-        "ELSE 'FAIL' END"
+        f"CASE WHEN nullif({old}, '') IS NULL THEN 'MISSING_OLD' "
+        f"WHEN nullif({new}, '') IS NULL THEN 'MISSING_NEW' "
+        f"ELSE if(coalesce({equal}, false), 'PASS', 'FAIL') END"
     )
 
 

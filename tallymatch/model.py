@@ -158,7 +158,9 @@ def specs_from_json(text: str) -> list[TableSpec]:
         TableSpec(
             name=t["name"],
             partition_cols=tuple(t.get("partition_cols") or ()),
-            fields=tuple(Field(**f) for f in t.get("fields") or ()),
+            fields=tuple(
+                Field(f["name"], f.get("type") or DEFAULT_FIELD_TYPE) for f in t.get("fields") or ()
+            ),
         )
         for t in json.loads(text).get("tables", [])
     ]

@@ -37,6 +37,11 @@ def metric_columns(spec: TableSpec, cast_override: str | None = None) -> list[Co
     return [F.count(F.lit(1)).alias(ROW_COUNT), *sums] if spec.count_rows else sums
 
 
+def _type_of(df: DataFrame, column: str) -> T.DataType:
+    """Type of a column, found the way Spark resolves its name."""
+    return df.select(name_col(column)).schema[0].dataType
+
+
 def on_date(df: DataFrame, partition_col: str, data_dt: str) -> DataFrame:
     """Rows of one date (P5).
 
@@ -44,7 +49,7 @@ def on_date(df: DataFrame, partition_col: str, data_dt: str) -> DataFrame:
     literal's, so the predicate prunes partitions or reaches the file scan.  A
     date that does not fit the type selects nothing.
     """
-    wanted = F.lit(data_dt).try_cast(df.schema[partition_col].dataType)
+    wanted = F.lit(data_dt).try_cast(_type_of(df, partition_col))
     return df.where(name_col(partition_col) == wanted)
 
 
@@ -93,7 +98,7 @@ def metrics_by_partition(
     partial aggregation leaves one row per task and date before the shuffle.
     """
     part = spec.partition_cols[0]
-    kind = df.schema[part].dataType
+    kind = _type_of(df, part)
     if dates is not None:
         df = df.where(name_col(part).isin([F.lit(d).try_cast(kind) for d in dates]))
     key = name_col(part)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ from ..sources.tables import open_table, read_slices
 
 Instant = datetime | Column | None
 
+# What a failing analysis or job raises.
+FAILURES = (PySparkException, Py4JJavaError)
+
 
 @dataclass(frozen=True)
 class MetricRun:
@@ -39,7 +43,7 @@ def _gather(
     for name, build in parts:
         try:
             frames.append(build())
-        except PySparkException as error:
+        except FAILURES as error:
             if on_error == "raise":
                 raise
             skipped[name] = str(error)
@@ -159,13 +163,13 @@ def store_metrics(
         group = specs[start : start + tables_per_job]
         try:
             store(group)
-        except PySparkException:
+        except FAILURES:
             if on_error == "raise":
                 raise
             for spec in group:
                 try:
                     store([spec])
-                except PySparkException as error:
+                except FAILURES as error:
                     skipped[spec.name] = str(error)
     return skipped
 

@@ -61,6 +61,12 @@ def test_unpartitioned_reads_everything(sales):
     assert rows(metric_frame(sales, spec, "1999-01-01"), "partition_col", "row_count") == [("", 4)]
 
 
+def test_names_in_another_case(sales):
+    spec = TableSpec.of("shop.sales", ["DT"], {"AMOUNT": "decimal(16,2)"})
+    assert rows(metric_frame(sales, spec, "2026-01-02"), "row_count", "AMOUNT_sum") == [(1, Decimal("-3.00"))]
+    assert metrics_by_partition(sales, spec).count() == 2
+
+
 def test_overflow_is_null_not_an_error(spark):
     df = spark.createDataFrame([("9" * 38,), ("9" * 38,)], "x string")
     wide = metric_frame(df, TableSpec.of("t", (), {"x": "decimal(38,0)"}), "d")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime
 
 import pytest
@@ -120,6 +121,28 @@ def test_table_that_fails_while_running_costs_only_itself(spark, tables, folder)
     assert rows(summary(spark, f"{folder}/s").select("table_name").distinct()) == [("shop.a",), ("shop.b",)]
 
 
+def test_damaged_file_costs_only_its_table(spark, tables, folder):
+    tables["shop.a"].coalesce(1).write.parquet(f"{folder}/a")
+    bad = spark.read.parquet(f"{folder}/a")
+    for name in os.listdir(f"{folder}/a"):
+        if name.endswith(".parquet"):
+            with open(f"{folder}/a/{name}", "r+b") as f:
+                f.seek(4)
+                f.write(b"\xff" * 200)
+    frames = {**tables, "shop.a": bad}
+    skipped = store_metrics(spark, SPECS, DT, "new", f"{folder}/s", tables=frames, on_error="skip")
+    assert list(skipped) == ["shop.a"]
+    assert rows(summary(spark, f"{folder}/s").select("table_name").distinct()) == [("shop.b",)]
+
+
+def test_slices_prune_the_stored_table(spark, tables, folder):
+    store_metrics(spark, SPECS, DT, "old", f"{folder}/s", tables=tables)
+    plan = plan_of(compare_stored(spark, f"{folder}/s", DT))
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "cluster" in pruned and "data_dt" in pruned
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
 def test_single_plan_reconciliation(spark, tables):
     result = reconcile_metrics(spark, SPECS, DT, tables, tables)
     assert result.count() == 4 and result.where("status <> 'PASS'").count() == 0
