@@ -3,10 +3,11 @@
 from .numsum import (
     MetricRun,
     collect_metrics,
-    collect_metrics_sql,
     collect_metrics_by_partition,
+    collect_metrics_sql,
     compare_stored,
     ingest_old,
+    measure_to_tsv,
     reconcile_metrics,
     reconcile_partitions,
     run_all,
@@ -28,6 +29,7 @@ __all__ = [
     "compare_stats_files",
     "compare_stored",
     "ingest_old",
+    "measure_to_tsv",
     "publish_comparison",
     "reconcile_catalogs",
     "reconcile_metrics",

@@ -9,12 +9,13 @@ from datetime import datetime
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import model as M
 from ..operators.compare import compare_metric_slices, compare_metrics
 from ..operators.metrics import metric_frame, metrics_by_partition
 from ..operators.reshape import empty_metrics, union_all, unpivot_metrics
-from ..sinks import write_metrics
+from ..sinks import export_metrics_tsv, write_metrics
 from ..sources.files import read_metrics_tsv
 from ..sources.metric_sql import metric_sql_frame
 from ..sources.tables import open_table, read_slices
@@ -186,6 +187,38 @@ def ingest_old(
     return write_metrics(read_metrics_tsv(spark, tsv, header=header), target, overwrite=overwrite)
 
 
+def _by_sql(measures: Sequence[M.TableSpec] | Sequence[str]) -> bool:
+    return bool(measures) and isinstance(measures[0], str)
+
+
+def measure_to_tsv(
+    spark: SparkSession,
+    measures: Sequence[M.TableSpec] | Sequence[str],
+    data_dt: str,
+    cluster: str,
+    path: str,
+    *,
+    tables: Mapping[str, DataFrame] | None = None,
+    computed_at: Instant = None,
+    on_error: str = "raise",
+) -> dict[str, str]:
+    """Measure one cluster into a TSV folder for another cluster to ingest."""
+    if _by_sql(measures):
+        run = collect_metrics_sql(spark, measures, data_dt, cluster, on_error=on_error)
+    else:
+        run = collect_metrics(
+            spark,
+            measures,
+            data_dt,
+            cluster,
+            tables=tables,
+            computed_at=computed_at,
+            on_error=on_error,
+        )
+    export_metrics_tsv(run.metrics, path)
+    return run.skipped
+
+
 def run_new(
     spark: SparkSession,
     measures: Sequence[M.TableSpec] | Sequence[str],
@@ -197,23 +230,34 @@ def run_new(
     computed_at: Instant = None,
     on_error: str = "raise",
     overwrite: bool = False,
+    tsv_path: str | None = None,
 ) -> dict[str, str]:
-    """Measure the new cluster by specs or by SQL statements and store it."""
-    if measures and isinstance(measures[0], str):
+    """Measure the new cluster by specs or by SQL statements and store it.
+
+    A TSV is exported from the stored slice, so tables are read once.
+    """
+    if _by_sql(measures):
         run = collect_metrics_sql(spark, measures, data_dt, cluster, on_error=on_error)
         write_metrics(run.metrics, target, overwrite=overwrite)
-        return run.skipped
-    return store_metrics(
-        spark,
-        measures,
-        data_dt,
-        cluster,
-        target,
-        tables=tables,
-        computed_at=computed_at,
-        on_error=on_error,
-        overwrite=overwrite,
-    )
+        skipped = run.skipped
+    else:
+        skipped = store_metrics(
+            spark,
+            measures,
+            data_dt,
+            cluster,
+            target,
+            tables=tables,
+            computed_at=computed_at,
+            on_error=on_error,
+            overwrite=overwrite,
+        )
+    if tsv_path is not None:
+        stored = read_slices(spark, target, M.METRIC_SCHEMA)
+        export_metrics_tsv(
+            stored.where((F.col("cluster") == cluster) & (F.col("data_dt") == data_dt)), tsv_path
+        )
+    return skipped
 
 
 def compare_stored(spark: SparkSession, target: str, data_dt: str | None = None, **how) -> DataFrame:

@@ -16,6 +16,7 @@ from tallymatch.plans import (
     collect_metrics_sql,
     compare_stored,
     ingest_old,
+    measure_to_tsv,
     reconcile_metrics,
     reconcile_partitions,
     run_all,
@@ -23,7 +24,7 @@ from tallymatch.plans import (
     store_metrics,
 )
 from tallymatch.sinks import export_metrics_tsv
-from tallymatch.sources import read_slices
+from tallymatch.sources import read_metrics_tsv, read_slices
 
 AT = datetime(2026, 1, 1)
 DT = "2026-01-01"
@@ -63,6 +64,18 @@ def test_full_run(spark, tables, folder):
     assert summary(spark, f"{folder}/summary").count() == 8
 
 
+def test_text_export_of_either_side(spark, tables, folder):
+    assert measure_to_tsv(spark, SPECS, DT, "old", f"{folder}/old", tables=tables, computed_at=AT) == {}
+    assert ingest_old(spark, f"{folder}/old", f"{folder}/s") == 4
+    run_new(spark, SPECS, DT, f"{folder}/s", tables=tables, computed_at=AT, tsv_path=f"{folder}/new")
+    old, new = (read_metrics_tsv(spark, f"{folder}/{side}") for side in ("old", "new"))
+    picked = ("table_name", "metric_name", "value", "computed_at", "data_dt")
+    assert rows(old, *picked) == rows(new, *picked)
+    assert rows(new.select("cluster").distinct()) == [("new",)]
+    assert measure_to_tsv(spark, ["select 1 as n"], DT, "old", f"{folder}/sql") == {}
+    assert rows(read_metrics_tsv(spark, f"{folder}/sql"), "metric_name", "value") == [("n", "1")]
+
+
 def test_header_line_is_not_loaded(spark, folder):
     with open(f"{folder}/o.tsv", "w") as f:
         f.write("cluster\ttable_name\tpartition_col\tmetric_name\tvalue\tcomputed_at\tdata_dt\n")
