@@ -2,6 +2,8 @@
 
 from .catalog import Metastore, catalog_stats, params_wide, partition_stats, table_level_stats
 from .compare import (
+    STATS_KEY,
+    TABLE_KEY,
     compare_metric_slices,
     compare_metrics,
     compare_row_counts,
@@ -28,6 +30,8 @@ from .table_stats import table_stats
 
 __all__ = [
     "Metastore",
+    "STATS_KEY",
+    "TABLE_KEY",
     "as_metric_rows",
     "catalog_stats",
     "compare_metric_slices",

@@ -16,6 +16,7 @@ from tallymatch.sources import (
     bind_date,
     metric_sql_frame,
     open_table,
+    read_metastore_jdbc,
     read_metrics_tsv,
     read_stats_csv,
     read_strict_tsv,
@@ -146,6 +147,44 @@ def test_metric_sql(spark):
     ]
 
 
+def test_metastore_over_jdbc_splits_every_read():
+    """No database here: a stand-in session records what would be read."""
+
+    class Reader:
+        def __init__(self, seen, options=()):
+            self.seen, self.set = seen, dict(options)
+
+        def format(self, kind):
+            return self.option("format", kind)
+
+        def option(self, key, value):
+            return Reader(self.seen, {**self.set, key: value})
+
+        def options(self, **more):
+            return Reader(self.seen, {**self.set, **more})
+
+        def load(self):
+            self.seen.append(self.set)
+            return self
+
+        def first(self):
+            return (None, None) if "FROM PARTITIONS" in self.set["query"] else (1, 1000)
+
+        def select(self, *columns):
+            return self.set["dbtable"], columns
+
+    class Session:
+        seen = []
+        read = Reader(seen)
+
+    store = read_metastore_jdbc(Session, "jdbc:x", {"user": "u"}, tasks=16)
+    assert store.PARTITION_KEYS == ("PARTITION_KEYS", ("TBL_ID",))
+    tables = {o["dbtable"]: o for o in Session.seen if "dbtable" in o}
+    assert len(tables) == 6 and all(o["url"] == "jdbc:x" and o["user"] == "u" for o in Session.seen)
+    assert tables["PARTITION_PARAMS"]["partitionColumn"] == "PART_ID"
+    assert tables["TBLS"]["numPartitions"] == "16" and "numPartitions" not in tables["PARTITIONS"]
+
+
 def test_open_table(spark):
     df = spark.range(1)
     assert open_table(spark, "db.t", {"db.t": df}) is df
