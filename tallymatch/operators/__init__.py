@@ -6,6 +6,7 @@ from .compare import (
     TABLE_KEY,
     compare_metric_slices,
     compare_metrics,
+    compare_partitions,
     compare_row_counts,
     compare_stats_wide,
     preview,
@@ -36,6 +37,7 @@ __all__ = [
     "catalog_stats",
     "compare_metric_slices",
     "compare_metrics",
+    "compare_partitions",
     "compare_row_counts",
     "compare_stats_wide",
     "empty_metrics",

@@ -83,6 +83,35 @@ def metric_frame(
     )
 
 
+def partition_kind(df: DataFrame, spec: TableSpec) -> T.DataType:
+    """Type a date of this table is grouped by: time of day does not count."""
+    kind = _type_of(df, spec.partition_col)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return T.DateType()
+    return kind
+
+
+def partition_totals(
+    df: DataFrame,
+    spec: TableSpec,
+    *,
+    kind: T.DataType,
+    dates: Iterable[str] | None = None,
+    cast_override: str | None = None,
+) -> DataFrame:
+    """``data_dt`` and the metrics of every date of one table, from a single scan.
+
+    A date holding a third of the table is no hot spot: partial aggregation
+    leaves one row per task and date before the shuffle.
+    """
+    part = name_col(spec.partition_col)
+    if dates is not None:
+        stored = _type_of(df, spec.partition_col)
+        df = df.where(part.isin([F.lit(d).try_cast(stored) for d in dates]))
+    day = part.cast(partition_kind(df, spec)).cast(kind)
+    return df.groupBy(day.alias("data_dt")).agg(*metric_columns(spec, cast_override))
+
+
 def metrics_by_partition(
     df: DataFrame,
     spec: TableSpec,
@@ -94,24 +123,15 @@ def metrics_by_partition(
     """Wide metric rows of all dates of one table from a single scan.
 
     Same rows as one ``metric_frame`` per existing date, without reading the
-    table once per date.  A date holding a third of the table is no hot spot:
-    partial aggregation leaves one row per task and date before the shuffle.
+    table once per date.
     """
-    part = spec.partition_cols[0]
-    kind = _type_of(df, part)
-    if dates is not None:
-        df = df.where(name_col(part).isin([F.lit(d).try_cast(kind) for d in dates]))
-    key = name_col(part)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        key = key.cast("date")
-    return (
-        df.groupBy(key.alias("data_dt"))
-        .agg(*metric_columns(spec, cast_override))
-        .select(
-            F.lit(spec.name).alias("table_name"),
-            F.col("data_dt").cast("string").alias("data_dt"),
-            F.lit(part).alias("partition_col"),
-            _stamp(computed_at).alias("computed_at"),
-            *[name_col(m) for m in spec.metrics],
-        )
+    totals = partition_totals(
+        df, spec, kind=partition_kind(df, spec), dates=dates, cast_override=cast_override
+    )
+    return totals.select(
+        F.lit(spec.name).alias("table_name"),
+        F.col("data_dt").cast("string").alias("data_dt"),
+        F.lit(spec.partition_col).alias("partition_col"),
+        _stamp(computed_at).alias("computed_at"),
+        *[name_col(m) for m in spec.metrics],
     )

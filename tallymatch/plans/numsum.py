@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import model as M
-from ..operators.compare import compare_metric_slices, compare_metrics
+from ..operators.compare import compare_metric_slices, compare_metrics, compare_partitions
 from ..operators.metrics import metric_frame, metrics_by_partition
 from ..operators.reshape import empty_metrics, union_all, unpivot_metrics
 from ..sinks import export_metrics_tsv, write_metrics
@@ -319,18 +319,13 @@ def reconcile_metrics(
 def reconcile_partitions(
     spark: SparkSession,
     specs: Sequence[M.TableSpec],
-    old_tables: Mapping[str, DataFrame],
-    new_tables: Mapping[str, DataFrame],
-    *,
-    dates: Sequence[str] | None = None,
-    computed_at: Instant = None,
+    old_tables: Mapping[str, DataFrame] | None,
+    new_tables: Mapping[str, DataFrame] | None,
     **how,
 ) -> DataFrame:
-    """Measure both sides for all (or the given) dates in one scan per table and compare."""
+    """Measure both sides for all (or the given) dates, one scan per table, and compare."""
     sides = [
-        collect_metrics_by_partition(
-            spark, specs, cluster, dates=dates, tables=tables, computed_at=computed_at
-        ).metrics
-        for cluster, tables in ((M.OLD, old_tables), (M.NEW, new_tables))
+        {s.name: open_table(spark, s.name, tables) for s in specs}
+        for tables in (old_tables, new_tables)
     ]
-    return compare_metrics(*sides, **how)
+    return compare_partitions(specs, *sides, **how)
