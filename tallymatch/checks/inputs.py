@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymatch import TableSpec
-from tallymatch.operators import Metastore
+from tallymatch.operators import Metastore, metric_columns, unpivot_metrics
 
 AT = datetime(2026, 1, 2, 3, 4, 5)
 AT_TEXT = "2026-01-02 03:04:05"
@@ -62,8 +62,6 @@ new_lineitem AS (
 
 def metric_groups(df: DataFrame, cluster: str) -> DataFrame:
     """Long metrics per group of lineitem; the group plays the part of the table."""
-    from tallymatch.operators import metric_columns, unpivot_metrics
-
     wide = df.groupBy(
         F.concat_ws("/", "l_returnflag", "l_linestatus").alias("table_name")
     ).agg(*metric_columns(TableSpec.of("g", (), {"l_quantity": MONEY, "l_extendedprice": MONEY})))

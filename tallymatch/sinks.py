@@ -65,6 +65,18 @@ def create_tables(
     return made[0], made[1]
 
 
+def _swaps_slices(spark: SparkSession, table: str) -> bool:
+    """Whether overwriting this table replaces only the partitions in the data."""
+    if spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic":
+        return True
+    facts = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:t)", args={"t": table})
+    kept = facts.where(F.col("col_name").isin("Provider", "Storage Properties")).collect()
+    described = {row.col_name: row.data_type for row in kept}
+    return described.get("Provider") == "hive" or "partitionOverwriteMode=dynamic" in described.get(
+        "Storage Properties", ""
+    )
+
+
 def write_slices(
     df: DataFrame, target: str, by: Sequence[str], *, overwrite: bool = False
 ) -> int:
@@ -79,7 +91,10 @@ def write_slices(
         writer = rows.write.mode("overwrite" if overwrite else "append")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target)
     else:
-        rows.write.insertInto(target, overwrite=overwrite)
+        spark = df.sparkSession
+        if overwrite and not _swaps_slices(spark, target):
+            raise ValueError(f"overwriting would empty all of {target}: see create_tables")
+        rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=overwrite)
     return rows_seen(seen)
 
 

@@ -116,6 +116,27 @@ def test_creating_tables_twice_is_harmless(spark):
     assert spark.table(made[0]).count() == 1
 
 
+def test_a_table_that_would_lose_its_siblings_is_not_overwritten(spark):
+    name = "tm_" + uuid.uuid4().hex[:8]
+    spark.sql(f"CREATE DATABASE {name}")
+    table = f"{name}.plain"
+    spark.sql(
+        f"CREATE TABLE {table} (value string, computed_at timestamp, metric_name string, partition_col string, "
+        "table_name string, cluster string, data_dt string) USING parquet PARTITIONED BY (cluster, data_dt)"
+    )
+    write_metrics(metrics(spark, "old", "d1", "1"), table)
+    with pytest.raises(ValueError):
+        write_metrics(metrics(spark, "old", "d2", "2"), table, overwrite=True)
+    picked = ("data_dt", "metric_name", "value", "table_name")
+    assert rows(read_slices(spark, table, M.METRIC_SCHEMA), *picked) == [("d1", "m0", "1", "t")]
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_metrics(metrics(spark, "old", "d2", "2"), table, overwrite=True)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert read_slices(spark, table, M.METRIC_SCHEMA).count() == 2
+
+
 def test_tsv_round_trip(spark, folder):
     given = metrics(spark, "old", "d1", "1", "", None, 'tab"quote', "a\tb")
     assert export_metrics_tsv(given, f"{folder}/tsv") == 5
