@@ -1,8 +1,8 @@
 """Registered queries of this subpackage, each with its SQL where SQL can say it."""
 
-from . import exact_dedup, quality_rules
+from . import bit_planes, byte_bpe, exact_dedup, packing, quality_rules
 
-MODULES = (quality_rules, exact_dedup)
+MODULES = (byte_bpe, quality_rules, bit_planes, exact_dedup, packing)
 
 
 def llm_queries():
