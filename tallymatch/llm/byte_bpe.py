@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder
+from .chunks import ChunkEncoder, packed
 from .common import ship, slices, table
 
-PIECES = 300_000
+PIECES = 200_000
 ENCODED = "doc_id long, ids binary"
 DECODED = "doc_id long, ids binary, decoded binary"
 
@@ -140,7 +140,7 @@ class Replayer:
             else:
                 known[piece] = rank.to_bytes(4, "little")
         for (piece, _), ids in zip(merged, replay([d for _, d in merged], self.ranks, self.values), strict=True):
-            known[piece] = np.array(ids, dtype="<u4").tobytes()
+            known[piece] = packed(ids)
         return [b"".join(map(known.__getitem__, pieces)) for pieces in found]
 
 

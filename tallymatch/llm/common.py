@@ -18,7 +18,7 @@ WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Characters of text that a Python worker handles at once.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

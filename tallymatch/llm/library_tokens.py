@@ -11,10 +11,9 @@ import json
 import os
 from functools import lru_cache
 
-import numpy as np
 import regex
 
-from .chunks import ChunkEncoder
+from .chunks import ChunkEncoder, packed
 
 #: How byte-level vocabularies write a byte: printable ones as they are, the others from
 #: U+0100 on, in order (fixed by the vocabulary files).
@@ -26,7 +25,7 @@ BYTE_TEXT = {b: chr(b) for b in _SHOWN} | {
 #: The split that a ByteLevel pre-tokenizer makes when its file gives no pattern (fixed value).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-PIECES = 300_000
+PIECES = 200_000
 PLAIN_END = "ɐ"
 
 
@@ -52,7 +51,7 @@ class LibraryChunks:
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(BYTE_TEXT)
-        return np.array([t.id for t in self.tokenize(shown)], dtype="<u4").tobytes()
+        return packed([t.id for t in self.tokenize(shown)])
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
         pieces = self.pieces
@@ -65,10 +64,9 @@ class LibraryChunks:
                 for piece in found:
                     if piece not in pieces:
                         pieces[piece] = self._piece(piece)
-                out.append(b"".join(map(pieces.__getitem__, found)))
+                out.append(pieces[found[0]] if len(found) == 1 else b"".join(map(pieces.__getitem__, found)))
             else:
-                ids = self.whole.encode(chunk, add_special_tokens=False).ids
-                out.append(np.array(ids, dtype="<u4").tobytes())
+                out.append(packed(self.whole.encode(chunk, add_special_tokens=False).ids))
         return out
 
 
