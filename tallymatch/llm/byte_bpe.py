@@ -26,10 +26,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder, packed
+from .chunks import ChunkEncoder, forget, packed
 from .common import ship, slices, table
 
-PIECES = 200_000
+MEMO = 150_000
 ENCODED = "doc_id long, ids binary"
 DECODED = "doc_id long, ids binary, decoded binary"
 
@@ -39,40 +39,66 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
-def replay(pieces: list[bytes], ranks: dict[bytes, int], values: dict[int, bytes]) -> list[list[int]]:
-    """The ids of each piece after all merges."""
-    token: list[int] = []  # the token at a position; only the first position of a token counts
-    after: list[int] = []  # position of the next token of the piece, or -1
-    before: list[int] = []
-    starts = []
-    single = [ranks[bytes([b])] for b in range(256)]
-    pair_rank: dict[tuple[int, int], int | None] = {}
-
-    def rank_of(a: int, b: int) -> int | None:
-        try:
-            return pair_rank[a, b]
-        except KeyError:
-            pair_rank[a, b] = found = ranks.get(values[a] + values[b])
-            return found
-
-    index: dict[int, list[int]] = {}
-    for piece in pieces:
-        first = len(token)
-        starts.append(first)
-        token.extend(map(single.__getitem__, piece))
-        last = len(token) - 1
-        before.extend(range(first - 1, last))
-        after.extend(range(first + 1, last + 2))
-        if last >= first:
-            before[first], after[last] = -1, -1
-        for i in range(first, last):
-            rank = rank_of(token[i], token[i + 1])
-            if rank is not None:
-                index.setdefault(rank, []).append(i)
-
+class Merges:
+    """A rank file, with the ranks of token pairs as they are looked up.
+
+    A pair is one integer, the left id above ``SHIFT`` bits and the right id below.
+    """
+
+    SHIFT = 21
+    PAIRS = 500_000
+
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        self.values = [b""] * (max(self.ranks.values()) + 1)
+        for piece, rank in self.ranks.items():
+            self.values[rank] = piece
+        single = [bytes([b]) for b in range(256)]
+        self.byte_ids = np.array([self.ranks[b] for b in single], dtype=np.int64)
+        self.byte_pairs = np.array([self.ranks.get(x + y, -1) for x in single for y in single], dtype=np.int64)
+        self.pairs: dict[int, int] = {}
+
+    def start(self) -> dict[int, int]:
+        """Known pairs, those of two bytes among them; emptied when they are too many."""
+        if not self.pairs or len(self.pairs) > self.PAIRS:
+            left, right = np.divmod(np.flatnonzero(self.byte_pairs >= 0), 256)
+            keys = self.byte_ids[left] << self.SHIFT | self.byte_ids[right]
+            self.pairs = dict(zip(keys.tolist(), self.byte_pairs[left * 256 + right].tolist(), strict=True))
+        return self.pairs
+
+    def look_up(self, pair: int) -> int:
+        left, right = pair >> self.SHIFT, pair & (1 << self.SHIFT) - 1
+        self.pairs[pair] = rank = self.ranks.get(self.values[left] + self.values[right], -1)
+        return rank
+
+
+def replay(pieces: list[bytes], merges: Merges) -> list[list[int]]:
+    """The ids of each piece (none is empty) after all merges."""
+    if not pieces:
+        return []
+    data = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    ends = np.cumsum(np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)))
+    starts = np.concatenate([[0], ends[:-1]])
+    following, preceding = np.arange(1, len(data) + 1), np.arange(-1, len(data) - 1)
+    following[ends - 1], preceding[starts] = -1, -1
+    ranks = np.full(len(data), -1)
+    ranks[:-1] = merges.byte_pairs[data[:-1].astype(np.int64) * 256 + data[1:]]
+    ranks[ends - 1] = -1  # no pair reaches into the next piece
+    at = np.flatnonzero(ranks >= 0)
+    at = at[np.argsort(ranks[at], kind="stable")]
+    first = np.flatnonzero(np.diff(ranks[at], prepend=-1))
+    #: The inverted index: where the pair of a rank stands.
+    index = {
+        rank: places.tolist()
+        for rank, places in zip(ranks[at[first]].tolist(), np.split(at, first[1:]), strict=True)
+        if len(places)
+    } if len(at) else {}
+
+    token = merges.byte_ids[data].tolist()  # -1 where a token has been merged into the one before
+    after, before = following.tolist(), preceding.tolist()
+    pairs, shift, look_up = merges.start(), merges.SHIFT, merges.look_up
     waiting = list(index)
     heapq.heapify(waiting)
-    gone = -1
     while waiting:
         rank = heapq.heappop(waiting)
         places = index.pop(rank, None)
@@ -80,78 +106,81 @@ def replay(pieces: list[bytes], ranks: dict[bytes, int], values: dict[int, bytes
             continue
         places.sort()
         for n, i in enumerate(places):
-            j = after[i]
+            left, j = token[i], after[i]
             # The place may have changed since it was indexed.
-            if token[i] == gone or j < 0 or rank_of(token[i], token[j]) != rank:
+            if left < 0 or j < 0 or pairs.get(left << shift | token[j]) != rank:
                 continue
-            token[i], token[j] = rank, gone
+            token[i], token[j] = rank, -1
             after[i] = k = after[j]
+            h, lower = before[i], False
             if k >= 0:
                 before[k] = i
-            lower = False
-            for left, right in ((before[i], i), (i, k)):
-                if left >= 0 and right >= 0:
-                    new = rank_of(token[left], token[right])
-                    if new is not None:
-                        if new in index:
-                            index[new].append(left)
-                        else:
-                            index[new] = [left]
-                            heapq.heappush(waiting, new)
-                        lower |= new < rank
+                pair = rank << shift | token[k]
+                new = pairs.get(pair)
+                if new is None:
+                    new = look_up(pair)
+                if new >= 0:
+                    lower = new < rank
+                    if new in index:
+                        index[new].append(i)
+                    else:
+                        index[new] = [i]
+                        heapq.heappush(waiting, new)
+            if h >= 0:
+                pair = token[h] << shift | rank
+                new = pairs.get(pair)
+                if new is None:
+                    new = look_up(pair)
+                if new >= 0:
+                    lower |= new < rank
+                    if new in index:
+                        index[new].append(h)
+                    else:
+                        index[new] = [h]
+                        heapq.heappush(waiting, new)
             if lower and n + 1 < len(places):  # an earlier merge has become possible: it goes first
                 index.setdefault(rank, []).extend(places[n + 1 :])
                 heapq.heappush(waiting, rank)
                 break
-
-    out = []
-    for first, piece in zip(starts, pieces, strict=True):
-        ids, i = [], first if piece else -1
-        while i >= 0:
-            ids.append(token[i])
-            i = after[i]
-        out.append(ids)
-    return out
-
-
-def by_id(ranks: dict[bytes, int]) -> dict[int, bytes]:
-    return {rank: piece for piece, rank in ranks.items()}
+    return [[t for t in token[low:high] if t >= 0] for low, high in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 class Replayer:
     """Gives the bytes (little-endian unsigned 32-bit ids) of chunks of text."""
 
     def __init__(self, path: str, pattern: str):
-        self.ranks, self.find = read_ranks(path), regex.compile(pattern).findall
-        self.values = by_id(self.ranks)
+        self.merges, self.find = Merges(path), regex.compile(pattern).findall
         self.known: dict[str, bytes] = {}
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
-        if len(self.known) > PIECES:
-            self.known.clear()
         known, found = self.known, [self.find(chunk) for chunk in chunks]
         new = list({piece for pieces in found for piece in pieces}.difference(known))
-        raw = [piece.encode() for piece in new]
-        merged = []
-        for piece, data in zip(new, raw, strict=True):
-            rank = self.ranks.get(data)
+        merged, raw = [], []
+        for piece in new:
+            data = piece.encode()
+            rank = self.merges.ranks.get(data)
             if rank is None:
-                merged.append((piece, data))
+                merged.append(piece)
+                raw.append(data)
             else:
-                known[piece] = rank.to_bytes(4, "little")
-        for (piece, _), ids in zip(merged, replay([d for _, d in merged], self.ranks, self.values), strict=True):
-            known[piece] = packed(ids)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in found]
+                known[piece] = packed([rank])
+        known.update(zip(merged, map(packed, replay(raw, self.merges)), strict=True))
+        out = [
+            known[pieces[0]] if len(pieces) == 1 else b"".join(map(known.__getitem__, pieces)) for pieces in found
+        ]
+        if len(known) > MEMO:
+            forget(known, new)
+        return out
 
 
 @lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> ChunkEncoder:
-    return ChunkEncoder(Replayer(path, pattern))
+    return ChunkEncoder(Replayer(path, pattern), MEMO)
 
 
 @lru_cache(maxsize=2)
-def _decoder(path: str) -> dict[int, bytes]:
-    return by_id(read_ranks(path))
+def _decoder(path: str) -> list[bytes]:
+    return Merges(path).values
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:

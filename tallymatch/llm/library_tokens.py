@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import regex
 
-from .chunks import ChunkEncoder, packed
+from .chunks import ChunkEncoder, forget, packed
 
 #: How byte-level vocabularies write a byte: printable ones as they are, the others from
 #: U+0100 on, in order (fixed by the vocabulary files).
@@ -55,18 +55,19 @@ class LibraryChunks:
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
         pieces = self.pieces
-        if len(pieces) > PIECES:
-            pieces.clear()
-        out = []
+        out, added = [], []
         for chunk in chunks:
             if chunk.isascii() or max(chunk) < PLAIN_END:
                 found = self.find(chunk.lower() if self.lower else chunk)
                 for piece in found:
                     if piece not in pieces:
                         pieces[piece] = self._piece(piece)
+                        added.append(piece)
                 out.append(pieces[found[0]] if len(found) == 1 else b"".join(map(pieces.__getitem__, found)))
             else:
                 out.append(packed(self.whole.encode(chunk, add_special_tokens=False).ids))
+        if len(pieces) > PIECES:
+            forget(pieces, added)
         return out
 
 
