@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymatch.llm import exact_dedup, quality_rules
+from tallymatch.llm import exact_dedup, minhash, packing, quality_rules, toxicity
 from tallymatch.llm.common import fresh_folder, stored, table
 
 STAGES = [
+    ("toxicity", toxicity.stage),
     ("quality_rules", quality_rules.stage),
     ("exact_dedup", exact_dedup.stage),
+    ("near_dedup", minhash.stage),
+    ("packing", packing.stage),
 ]
 
 

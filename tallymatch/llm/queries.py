@@ -1,8 +1,28 @@
 """Registered queries of this subpackage, each with its SQL where SQL can say it."""
 
-from . import bit_planes, byte_bpe, exact_dedup, packing, quality_classifier, quality_rules, toxicity
+from . import (
+    bit_planes,
+    byte_bpe,
+    chat,
+    exact_dedup,
+    minhash,
+    packing,
+    quality_classifier,
+    quality_rules,
+    toxicity,
+)
 
-MODULES = (byte_bpe, quality_rules, quality_classifier, toxicity, bit_planes, exact_dedup, packing)
+MODULES = (
+    byte_bpe,
+    quality_rules,
+    minhash,
+    quality_classifier,
+    toxicity,
+    chat,
+    bit_planes,
+    exact_dedup,
+    packing,
+)
 
 
 def llm_queries():
