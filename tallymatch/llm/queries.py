@@ -5,6 +5,7 @@ from . import (
     byte_bpe,
     chat,
     exact_dedup,
+    html_text,
     minhash,
     packing,
     quality_classifier,
@@ -22,6 +23,7 @@ MODULES = (
     bit_planes,
     exact_dedup,
     packing,
+    html_text,
 )
 
 
