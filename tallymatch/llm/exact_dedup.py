@@ -112,8 +112,8 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline: the documents that stay, with their own columns."""
-    columns = tuple(docs.columns)
-    return deduplicate(docs, DigestIndex.create(spark), columns).where("kept").select(*columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_doc"))
+    return deduplicate(rows, DigestIndex.create(spark), ("doc_id", "_doc")).where("kept").select("_doc.*")
 
 
 QUERIES = {"op8_exact_dedup": exact_dedup}
