@@ -6,10 +6,11 @@
 2. Documents with equal word sequences form a class with one representative; from here on
    only representatives are compared, so copies cost nothing.
 3. Representatives that agree in a band meet in a bucket.  A bucket pairs its members with its
-   smallest one (a star), never all with all.  Bit counts of the packed signatures estimate
-   the similarity, corrected for chance agreement of low bits; pairs far below the
-   threshold go, and the rest is settled on full shingle sets.
-4. What stars leave out matters only in buckets whose members are not in one component yet.
+   smallest one (a star), and of its stars' centres a representative takes the one it shares
+   the most bands with.  Bit counts of the packed signatures estimate the similarity,
+   corrected for chance agreement of low bits; pairs far below the threshold go, and the
+   rest is settled on full shingle sets.
+4. What this leaves out matters only in buckets whose members are not in one component yet.
    There, members of different components are compared by their packed bits inside the join,
    plausible pairs are settled on full sets, and this is repeated until nothing new is found.
 5. Components of the links come from alternating star contraction over files in the shared
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import WORD, fresh_folder, ship, slices, stored, table
 
-SIGMAS = 6
+SIGMAS = 5
 LOW_BITS = 2
 SIGNED = "doc_id long, digest string, n_shingles long, bands array<long>, planes array<long>"
 SETS = "doc_id long, shingles array<long>"
@@ -62,7 +63,7 @@ class Settings:
 
     @property
     def least_estimate(self) -> float:
-        """The estimate that a pair at the threshold falls below with a chance of about 1 in 10^9."""
+        """The estimate that a pair at the threshold falls below with a chance of about 3 in 10 million."""
         chance = 1 / (1 << LOW_BITS)
         agree = self.percent / 100 * (1 - chance) + chance
         return self.percent / 100 - SIGMAS * (agree * (1 - agree) / self.minima) ** 0.5 / (1 - chance)
@@ -278,38 +279,46 @@ def link(docs: DataFrame, settings: Settings) -> DataFrame:
     buckets = stored(
         members.join(stored(shared, f"{folder}/shared"), "key").select("key", "rep", "n", "a"), f"{folder}/buckets"
     )
-    pairs = buckets.where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
-    links = verified(pairs, reps, docs, settings, f"{folder}/stars")
-
-    # Pairs that no star has compared can matter only between components.
-    step, tested = 0, stored(pairs, f"{folder}/tested")
+    # For every member the smallest representative it shares the most bands with, hence the likeliest link.
+    met = buckets.where("rep <> a").groupBy("a", F.col("rep").alias("b")).agg(F.count(F.lit(1)).alias("bands"))
+    order = F.struct("bands", (-F.col("a")).alias("less"))
+    best = met.groupBy("b").agg(F.max_by("a", order).alias("a")).select("a", "b")
+    tested = stored(best, f"{folder}/tested")
+    links = verified(tested, reps, docs, settings, f"{folder}/stars")
+
+    # Pairs that have not been compared can matter only between components.
+    step = 0
     component = contract(links, f"{folder}/contract")
     while True:
         step += 1
-        grouped = (
-            buckets.where("n > 2")
-            .join(component.toDF("rep", "component"), "rep", "left")
-            .select("key", "rep", F.coalesce("component", "rep").alias("c"))
+        grouped = stored(
+            buckets.join(component.toDF("rep", "component"), "rep", "left").select(
+                "key", "rep", F.coalesce("component", "rep").alias("c")
+            ),
+            f"{folder}/grouped_{step}",
         )
-        grouped = stored(grouped, f"{folder}/grouped_{step}")
         split = stored(
             grouped.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high"),
             f"{folder}/split_{step}",
         )
-        still = grouped.join(split.select("key"), "key").join(reps.select("rep", "n_shingles", "planes"), "rep")
-        still = stored(still.select("key", "rep", "c", "n_shingles", "planes"), f"{folder}/still_{step}")
-        # Estimated inside the join, so that it gives plausible pairs only.
+        still = grouped.join(split.select("key"), "key").join(
+            reps.select("rep", "n_shingles", "planes", "bands"), "rep"
+        )
+        still = stored(still.select("key", "rep", "c", "n_shingles", "planes", "bands"), f"{folder}/still_{step}")
+        # Judged inside the join, so that it gives plausible pairs only, and each once: in the
+        # first band that a pair agrees in.
+        first = F.element_at(F.filter(F.zip_with("ba", "bb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
         across = (
-            still.toDF("key", "a", "ca", "na", "pa")
+            still.toDF("key", "a", "ca", "na", "pa", "ba")
             .join(
-                still.toDF("key_b", "b", "cb", "nb", "pb"),
+                still.toDF("key_b", "b", "cb", "nb", "pb", "bb"),
                 (F.col("key") == F.col("key_b"))
                 & (F.col("a") < F.col("b"))
                 & (F.col("ca") != F.col("cb"))
-                & plausible(settings),
+                & plausible(settings)
+                & (first == F.col("key")),
             )
             .select("a", "b")
-            .distinct()
             .join(tested, ["a", "b"], "left_anti")
         )
         across = stored(across, f"{folder}/across_{step}")
@@ -317,6 +326,8 @@ def link(docs: DataFrame, settings: Settings) -> DataFrame:
             break
         more = verified(across, reps, docs, settings, f"{folder}/more_{step}")
         tested = stored(tested.union(across), f"{folder}/tested_{step}")
+        if more.isEmpty():
+            break
         links = stored(links.union(more), f"{folder}/links_{step}")
         component = contract(links, f"{folder}/contract_{step}")
 
