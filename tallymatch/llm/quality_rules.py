@@ -128,7 +128,9 @@ def ledger(docs: DataFrame) -> DataFrame:
     total = bits[0]
     for bit in bits[1:]:
         total = total + bit
-    return measured(docs).withColumn("failed_bits", total.cast("long"))
+    # The condition always holds.  It depends on the row's number, so the optimizer leaves the
+    # measurements below: a filter on the bits, pushed down, would repeat them over and over.
+    return measured(docs).withColumn("failed_bits", F.when(F.monotonically_increasing_id() >= 0, total.cast("long")))
 
 
 def passes(policy: Policy) -> Column:
