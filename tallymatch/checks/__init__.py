@@ -1,8 +1,8 @@
 """Registered queries: each one a Spark callable and, where SQL can say it, the SQL."""
 
-from . import catalog, compare, files, metrics, stats
+from . import catalog, compare, files, metrics, safety, stats
 
-MODULES = (metrics, compare, catalog, stats, files)
+MODULES = (metrics, compare, catalog, stats, files, safety)
 
 
 def all_queries():

@@ -36,9 +36,16 @@ def numeric(c: Column, exact_scale: int | None = None) -> Column:
     """Text to number, NULL when it is not one.
 
     By default a DOUBLE, which hides differences beyond 2^53.  With
-    ``exact_scale`` a DECIMAL(38, exact_scale), which does not.
+    ``exact_scale`` a DECIMAL(38, exact_scale), which does not; text with more
+    digits than that is no such number, so it never equals another by rounding.
     """
-    return c.try_cast("double" if exact_scale is None else f"decimal(38,{exact_scale})")
+    if exact_scale is None:
+        return c.try_cast("double")
+    number = c.try_cast(f"decimal(38,{exact_scale})")
+    # A finer decimal tells whether casting rounded (NULL where it cannot hold the number at all).
+    finer = c.try_cast(f"decimal(38,{min(38, exact_scale + 12)})")
+    plain = F.length(F.regexp_extract(c, r"\.(\d*?)0*$", 1)) <= exact_scale
+    return F.when(F.coalesce(finer == number, plain), number)
 
 
 def metric_status(old: Column, new: Column, exact_scale: int | None = None) -> Column:

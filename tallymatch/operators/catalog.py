@@ -82,9 +82,8 @@ def partition_stats(
 
     An eight-digit date is looked for as ``=yyyy-MM-dd``; ``either_spelling``
     also finds ``=yyyyMMdd``.  The parameter relation, the largest of the six,
-    is aggregated before it is joined: the rows of one partition lie together,
-    so partial aggregation sends one row of four numbers per partition where a
-    join first would shuffle every key/value text.
+    is cut down to the partitions found (a small side, as a rule) and aggregated
+    before it is joined, so the shuffles carry one date and not all history.
     """
     name = F.col("PART_NAME")
     hit = name.contains("=" + dashed_date_text(data_dt))
@@ -96,8 +95,9 @@ def partition_stats(
         name.alias("partition_name"),
         F.col("LAST_ACCESS_TIME").alias("last_access"),
     )
+    wanted = store.PARTITION_PARAMS.join(found.select("PART_ID"), "PART_ID", "left_semi")
     joined = (
-        found.join(params_wide(store.PARTITION_PARAMS, "PART_ID"), "PART_ID", "left")
+        found.join(params_wide(wanted, "PART_ID"), "PART_ID", "left")
         .join(store.TBLS.select("TBL_ID", "DB_ID", "TBL_NAME", "TBL_TYPE"), "TBL_ID")
         .join(store.DBS.select("DB_ID", "NAME"), "DB_ID")
     )

@@ -64,7 +64,12 @@ def _pair_dates(
     per date is sorted instead of one per date and metric.
     """
     kinds = partition_kind(old, spec), partition_kind(new, spec)
-    kind = kinds[0] if kinds[0] == kinds[1] else T.StringType()
+    if kinds[0] == kinds[1]:
+        kind = kinds[0]
+    elif T.DateType() in kinds and T.StringType() in kinds:
+        kind = T.DateType()  # text is read as a date, in either spelling
+    else:
+        kind = T.StringType()
     sides = [partition_totals(df, spec, kind=kind, dates=dates) for df in (old, new)]
     pairs = pair_sides(*sides, ("data_dt",), spec.metrics)
     values = F.array(

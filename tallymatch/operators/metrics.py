@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import name_col
+from ..functions import dashed_date, dashed_date_text, name_col
 from ..model import ROW_COUNT, Field, TableSpec
 
 
@@ -42,15 +43,41 @@ def _type_of(df: DataFrame, column: str) -> T.DataType:
     return df.select(name_col(column)).schema[0].dataType
 
 
-def on_date(df: DataFrame, partition_col: str, data_dt: str) -> DataFrame:
-    """Rows of one date (P5).
+def _day(data_dt: str) -> date:
+    """A date as ``yyyy-MM-dd`` or ``yyyyMMdd``."""
+    try:
+        return date.fromisoformat(dashed_date_text(data_dt))
+    except ValueError:
+        raise ValueError(f"{data_dt!r} is no date, but the partition column holds dates") from None
+
 
-    The literal is cast to the column's type, never the column to the
-    literal's, so the predicate prunes partitions or reaches the file scan.  A
-    date that does not fit the type selects nothing.
+def on_dates(df: DataFrame, partition_col: str, dates: Iterable[str]) -> Column:
+    """Whether a row belongs to one of the dates (P5).
+
+    The literals take the column's type, never the column the literals', so the
+    predicate prunes partitions or reaches the file scan.  A time of day does
+    not matter.  A date that does not fit the type raises: it would select
+    nothing on either side, and nothing equals nothing.
     """
-    wanted = F.lit(data_dt).try_cast(_type_of(df, partition_col))
-    return df.where(name_col(partition_col) == wanted)
+    part, kind = name_col(partition_col), _type_of(df, partition_col)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        days = [_day(d) for d in dates]
+        within = [
+            (part >= F.lit(day).cast(kind)) & (part < F.lit(day + timedelta(days=1)).cast(kind)) for day in days
+        ]
+        return reduce(Column.__or__, within, F.lit(False))
+    if isinstance(kind, T.DateType):
+        wanted = [F.lit(_day(d)) for d in dates]
+    elif isinstance(kind, T.IntegralType):
+        wanted = [F.lit(int(d)).cast(kind) for d in dates]
+    else:
+        wanted = [F.lit(d).try_cast(kind) for d in dates]
+    return part == wanted[0] if len(wanted) == 1 else part.isin(wanted)
+
+
+def on_date(df: DataFrame, partition_col: str, data_dt: str) -> DataFrame:
+    """Rows of one date."""
+    return df.where(on_dates(df, partition_col, [data_dt]))
 
 
 def _stamp(computed_at: datetime | Column | None) -> Column:
@@ -105,10 +132,16 @@ def partition_totals(
     leaves one row per task and date before the shuffle.
     """
     part = name_col(spec.partition_col)
+    own = partition_kind(df, spec)
+    as_date = isinstance(own, T.StringType) and isinstance(kind, T.DateType)
     if dates is not None:
-        stored = _type_of(df, spec.partition_col)
-        df = df.where(part.isin([F.lit(d).try_cast(stored) for d in dates]))
-    day = part.cast(partition_kind(df, spec)).cast(kind)
+        days = [dashed_date_text(d) for d in dates] if as_date else dates
+        spelled = [*days, *(d.replace("-", "") for d in days)] if as_date else days
+        df = df.where(on_dates(df, spec.partition_col, spelled))
+    if as_date:
+        day = F.coalesce(part.try_cast(kind), dashed_date(part).try_cast(kind))
+    else:
+        day = part.cast(own).cast(kind)
     return df.groupBy(day.alias("data_dt")).agg(*metric_columns(spec, cast_override))
 
 

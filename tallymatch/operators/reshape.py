@@ -33,7 +33,7 @@ def _typed(df: DataFrame, names: Sequence[str]) -> list[str]:
             expressions.append(name)
         else:
             source = name if name in types else "null"
-            expressions.append(f"cast({source} as {want.simpleString()}) as {name}")
+            expressions.append(f"try_cast({source} as {want.simpleString()}) as {name}")
     return expressions
 
 

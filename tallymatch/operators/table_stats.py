@@ -20,13 +20,15 @@ def table_stats(
     data_dt: str | None = None,
     table_type: str = "EXTERNAL_TABLE",
     estimate_raw_size: bool = False,
+    path: str | None = None,
 ) -> DataFrame:
     """Rows, bytes and files of a file-based frame, whole or per partition.
 
     ``df`` must be a plain file scan, since the file facts come from its hidden
     metadata column.  Without ``estimate_raw_size`` no data column is read.  The
     estimate is the size of the rows as JSON text, not a warehouse's own figure,
-    and reads everything.  A file without rows leaves no trace.
+    and reads everything.  A file without rows is seen only if ``path`` names the
+    table's folder: then files and bytes come from its listing.
 
     Only one small row per scan task and file is shuffled.
     """
@@ -42,10 +44,17 @@ def table_stats(
         raw = F.coalesce(F.sum("raw"), F.lit(0).cast("bigint"))
     files = df.groupBy(*parts, F.col("_metadata.file_path").alias("file")).agg(*per_file)
     zero = F.lit(0).cast("bigint")
+    files = files.withColumn("files", F.lit(1))
+    if path is not None:
+        listed = df.sparkSession.read.format("binaryFile").load(path)
+        columns = [F.lit(0).alias("rows"), F.col("length").alias("bytes"), F.lit(1).alias("files")]
+        files = files.withColumns({"bytes": zero, "files": F.lit(0)}).unionByName(
+            listed.select(*parts, *columns), allowMissingColumns=True
+        )
     totals = files.groupBy(*parts).agg(
         F.coalesce(F.sum("rows"), zero).alias("num_rows"),
         F.coalesce(F.sum("bytes"), zero).alias("total_size"),
-        F.count(F.lit(1)).alias("num_files"),
+        F.sum("files").alias("num_files"),
         raw.alias("raw_data_size"),
     )
     levels = [F.concat(F.lit(f"{p}="), name_col(p).cast("string")) for p in partition_cols]

@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from .. import model as M
 from ..operators.compare import compare_metric_slices, compare_metrics, compare_partitions
 from ..operators.metrics import metric_frame, metrics_by_partition
-from ..operators.reshape import empty_metrics, union_all, unpivot_metrics
-from ..sinks import export_metrics_tsv, write_metrics
+from ..operators.reshape import as_metric_rows, empty_metrics, union_all, unpivot_metrics
+from ..session import shared_folder
+from ..sinks import clear_slice, export_metrics_tsv, write_metrics
 from ..sources.files import read_metrics_tsv
 from ..sources.metric_sql import metric_sql_frame
-from ..sources.tables import open_table, read_slices
+from ..sources.tables import open_table, read_slices, side_tables
 
 Instant = datetime | Column | None
 
@@ -113,11 +114,66 @@ def collect_metrics_sql(
     on_error: str = "raise",
 ) -> MetricRun:
     """Long metrics of user-written statements as one lazy plan."""
-    parts = [
+    return _gather(spark, _sql_parts(spark, statements, data_dt, cluster), on_error)
+
+
+def _sql_parts(
+    spark: SparkSession, statements: Sequence[str], data_dt: str, cluster: str
+) -> list[tuple[str, Callable[[], DataFrame]]]:
+    return [
         (f"statement {i}", lambda s=s: metric_sql_frame(spark, s, data_dt, cluster))
         for i, s in enumerate(statements, 1)
     ]
-    return _gather(spark, parts, on_error)
+
+
+def _now(spark: SparkSession) -> datetime:
+    return spark.range(1).select(F.current_timestamp()).first()[0]
+
+
+def _stage_parts(
+    spark: SparkSession,
+    parts: Sequence[tuple[str, Callable[[], DataFrame]]],
+    folder: str,
+    on_error: str,
+    parts_per_job: int,
+) -> dict[str, str]:
+    """Run parts in jobs of some each, their long metrics going to ``folder``; returns the skipped ones.
+
+    With ``on_error="skip"`` a job that fails while running is repeated part by
+    part, and only the parts at fault are lost.  Raises if all of them are.
+    """
+    skipped: dict[str, str] = {}
+
+    def store(group: Sequence[tuple[str, Callable[[], DataFrame]]]) -> None:
+        run = _gather(spark, group, on_error)
+        skipped.update(run.skipped)
+        if len(run.skipped) < len(group):
+            as_metric_rows(run.metrics).write.mode("append").parquet(folder)
+
+    for start in range(0, len(parts), parts_per_job):
+        group = parts[start : start + parts_per_job]
+        try:
+            store(group)
+        except FAILURES:
+            if on_error == "raise":
+                raise
+            for part in group:
+                try:
+                    store([part])
+                except FAILURES as error:
+                    skipped[part[0]] = str(error)
+    if len(skipped) == len(parts):
+        raise RuntimeError(f"nothing was measured: {skipped}")
+    return skipped
+
+
+def _store_staged(
+    spark: SparkSession, folder: str, data_dt: str, cluster: str, target: str, overwrite: bool
+) -> None:
+    """Append the staged metrics, or replace the slice by them in one step; no rows empty it."""
+    staged = spark.read.schema(M.METRIC_SCHEMA).parquet(folder)
+    if write_metrics(staged, target, overwrite=overwrite) == 0 and overwrite:
+        clear_slice(spark, target, M.METRIC_SCHEMA, {"cluster": cluster, "data_dt": data_dt})
 
 
 def store_metrics(
@@ -136,42 +192,49 @@ def store_metrics(
 ) -> dict[str, str]:
     """Compute and store metrics in jobs of some tables each; returns the skipped ones.
 
-    The first job replaces the slice if asked to, the others add to it, so a
-    repeated run starts clean.  With ``on_error="skip"`` a job that fails while
-    running is repeated table by table, and only the tables at fault are lost.
+    The jobs write to a folder of their own; the slice is appended to or
+    replaced once, at the end, with one ``computed_at``.  So a failure leaves
+    the slice as it was, whatever the number of tables.
     """
-    skipped: dict[str, str] = {}
-    fresh = overwrite
-
-    def store(group: Sequence[M.TableSpec]) -> None:
-        nonlocal fresh
-        run = collect_metrics(
-            spark,
-            group,
-            data_dt,
-            cluster,
-            tables=tables,
-            computed_at=computed_at,
-            cast_override=cast_override,
-            on_error=on_error,
+    at = computed_at if computed_at is not None else _now(spark)
+    parts = [
+        (
+            s.name,
+            lambda s=s: unpivot_metrics(
+                metric_frame(
+                    open_table(spark, s.name, tables),
+                    s,
+                    data_dt,
+                    computed_at=at,
+                    cast_override=cast_override,
+                ),
+                cluster,
+            ),
         )
-        skipped.update(run.skipped)
-        if len(run.skipped) < len(group):
-            write_metrics(run.metrics, target, overwrite=fresh)
-            fresh = False
+        for s in specs
+    ]
+    folder = f"{shared_folder(spark)}/metrics"
+    skipped = _stage_parts(spark, parts, folder, on_error, tables_per_job)
+    _store_staged(spark, folder, data_dt, cluster, target, overwrite)
+    return skipped
 
-    for start in range(0, len(specs), tables_per_job):
-        group = specs[start : start + tables_per_job]
-        try:
-            store(group)
-        except FAILURES:
-            if on_error == "raise":
-                raise
-            for spec in group:
-                try:
-                    store([spec])
-                except FAILURES as error:
-                    skipped[spec.name] = str(error)
+
+def store_metrics_sql(
+    spark: SparkSession,
+    statements: Sequence[str],
+    data_dt: str,
+    cluster: str,
+    target: str,
+    *,
+    on_error: str = "raise",
+    overwrite: bool = False,
+    statements_per_job: int = 50,
+) -> dict[str, str]:
+    """The same for user-written statements (S8): a statement that fails costs only itself."""
+    folder = f"{shared_folder(spark)}/metrics"
+    parts = _sql_parts(spark, statements, data_dt, cluster)
+    skipped = _stage_parts(spark, parts, folder, on_error, statements_per_job)
+    _store_staged(spark, folder, data_dt, cluster, target, overwrite)
     return skipped
 
 
@@ -183,8 +246,14 @@ def ingest_old(
     header: bool = False,
     overwrite: bool = False,
 ) -> int:
-    """Load exported metrics of the old cluster into the summary (E3).  Returns rows stored."""
-    return write_metrics(read_metrics_tsv(spark, tsv, header=header), target, overwrite=overwrite)
+    """Load exported metrics of the old cluster into the summary (E3).  Returns rows stored.
+
+    Raises if there are none: the slice they would replace is not known.
+    """
+    stored = write_metrics(read_metrics_tsv(spark, tsv, header=header), target, overwrite=overwrite)
+    if stored == 0:
+        raise RuntimeError(f"no metrics in {tsv}")
+    return stored
 
 
 def _by_sql(measures: Sequence[M.TableSpec] | Sequence[str]) -> bool:
@@ -203,20 +272,19 @@ def measure_to_tsv(
     on_error: str = "raise",
 ) -> dict[str, str]:
     """Measure one cluster into a TSV folder for another cluster to ingest."""
-    if _by_sql(measures):
-        run = collect_metrics_sql(spark, measures, data_dt, cluster, on_error=on_error)
-    else:
-        run = collect_metrics(
-            spark,
-            measures,
-            data_dt,
-            cluster,
-            tables=tables,
-            computed_at=computed_at,
-            on_error=on_error,
-        )
-    export_metrics_tsv(run.metrics, path)
-    return run.skipped
+    staged = f"{shared_folder(spark)}/summary"
+    skipped = run_new(
+        spark,
+        measures,
+        data_dt,
+        staged,
+        cluster=cluster,
+        tables=tables,
+        computed_at=computed_at,
+        on_error=on_error,
+    )
+    export_metrics_tsv(read_slices(spark, staged, M.METRIC_SCHEMA), path)
+    return skipped
 
 
 def run_new(
@@ -237,9 +305,9 @@ def run_new(
     A TSV is exported from the stored slice, so tables are read once.
     """
     if _by_sql(measures):
-        run = collect_metrics_sql(spark, measures, data_dt, cluster, on_error=on_error)
-        write_metrics(run.metrics, target, overwrite=overwrite)
-        skipped = run.skipped
+        skipped = store_metrics_sql(
+            spark, measures, data_dt, cluster, target, on_error=on_error, overwrite=overwrite
+        )
     else:
         skipped = store_metrics(
             spark,
@@ -296,22 +364,54 @@ def run_all(
     return compare_stored(spark, target, data_dt)
 
 
+def _two_sides(
+    spark: SparkSession,
+    specs: Sequence[M.TableSpec],
+    old_tables: Mapping[str, DataFrame] | None,
+    new_tables: Mapping[str, DataFrame] | None,
+    old_namespace: str | None,
+    new_namespace: str | None,
+) -> list[dict[str, DataFrame]]:
+    """The tables each side has.  Raises where both sides would be the same catalog tables."""
+    if old_tables is None and new_tables is None and old_namespace == new_namespace:
+        raise ValueError("both sides are the same tables: give mappings or two namespaces")
+    names = [s.name for s in specs]
+    return [
+        side_tables(spark, names, old_tables, old_namespace),
+        side_tables(spark, names, new_tables, new_namespace),
+    ]
+
+
 def reconcile_metrics(
     spark: SparkSession,
     specs: Sequence[M.TableSpec],
     data_dt: str,
-    old_tables: Mapping[str, DataFrame],
-    new_tables: Mapping[str, DataFrame],
+    old_tables: Mapping[str, DataFrame] | None = None,
+    new_tables: Mapping[str, DataFrame] | None = None,
     *,
+    old_namespace: str | None = None,
+    new_namespace: str | None = None,
     computed_at: Instant = None,
+    on_error: str = "raise",
     **how,
 ) -> DataFrame:
-    """Measure both sides for one date and compare, as a single lazy plan (E5)."""
+    """Measure both sides for one date and compare, as a single lazy plan (E5).
+
+    A side is a mapping or the tables of a catalog namespace.  A table that one
+    side lacks has no metrics there, so all of the other's are missing.
+    """
+    found = _two_sides(spark, specs, old_tables, new_tables, old_namespace, new_namespace)
     sides = [
         collect_metrics(
-            spark, specs, data_dt, cluster, tables=tables, computed_at=computed_at
+            spark,
+            [s for s in specs if s.name in tables],
+            data_dt,
+            cluster,
+            tables=tables,
+            computed_at=computed_at,
+            on_error=on_error,
         ).metrics
-        for cluster, tables in ((M.OLD, old_tables), (M.NEW, new_tables))
+        for cluster, tables in zip((M.OLD, M.NEW), found, strict=True)
     ]
     return compare_metrics(*sides, **how)
 
@@ -319,13 +419,22 @@ def reconcile_metrics(
 def reconcile_partitions(
     spark: SparkSession,
     specs: Sequence[M.TableSpec],
-    old_tables: Mapping[str, DataFrame] | None,
-    new_tables: Mapping[str, DataFrame] | None,
+    old_tables: Mapping[str, DataFrame] | None = None,
+    new_tables: Mapping[str, DataFrame] | None = None,
+    *,
+    old_namespace: str | None = None,
+    new_namespace: str | None = None,
     **how,
 ) -> DataFrame:
-    """Measure both sides for all (or the given) dates, one scan per table, and compare."""
-    sides = [
-        {s.name: open_table(spark, s.name, tables) for s in specs}
-        for tables in (old_tables, new_tables)
-    ]
-    return compare_partitions(specs, *sides, **how)
+    """Measure both sides for all (or the given) dates, one scan per table, and compare.
+
+    A table that one side lacks has no dates there; one that both lack raises.
+    """
+    old, new = _two_sides(spark, specs, old_tables, new_tables, old_namespace, new_namespace)
+    for spec in specs:
+        if spec.name not in old and spec.name not in new:
+            raise ValueError(f"neither side has {spec.name}")
+        for side, other in ((old, new), (new, old)):
+            if spec.name not in side:
+                side[spec.name] = other[spec.name].where(F.lit(False))
+    return compare_partitions(specs, old, new, **how)

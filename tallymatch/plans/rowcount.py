@@ -30,15 +30,21 @@ def compare_stats_files(
     key: Sequence[str] = STATS_KEY,
     legacy_stats_layout: bool = False,
     wide: bool = False,
+    missing_ok: bool = False,
 ) -> DataFrame:
     """Compare two statistics files (E8), or all statistics side by side.
 
-    Where a key repeats, the row last in its file wins.
+    Where a key repeats, the row last in its file wins.  With ``missing_ok`` an
+    absent file has no rows, so all of the other's keys are missing there.
     """
     sides = [
-        read_stats_csv(spark, p, legacy_stats_layout=legacy_stats_layout, row_order=True)
+        read_stats_csv(
+            spark, p, legacy_stats_layout=legacy_stats_layout, row_order=True, missing_ok=missing_ok
+        )
         for p in (old_csv, new_csv)
     ]
+    if wide and tuple(key) != tuple(STATS_KEY):
+        raise ValueError("the wide comparison has a key of its own")
     if wide:
         return compare_stats_wide(*sides, order=("row_order",))
     return compare_row_counts(*sides, key=key, order=("row_order",))

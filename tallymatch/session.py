@@ -13,8 +13,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def recommended_conf(cores: int) -> dict[str, str]:
     """Settings for a reconciliation session with that many cores.
 
-    Shuffles only ever carry summaries, so AQE starts from a multiple of the
-    cores and coalesces; skew handling serves the inner joins of the catalog.
+    Shuffles only ever carry summaries, so AQE starts from one partition for each
+    core (8 at least) and coalesces; skew handling serves the inner joins of the catalog.
     """
     return {
         "spark.sql.adaptive.enabled": "true",

@@ -9,7 +9,7 @@ job leaves the old slice or the new one, and sibling slices are never touched.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -113,16 +113,23 @@ def only_date(column: Column, data_dt: str) -> Column:
     return F.when(column == data_dt, column).otherwise(F.raise_error(message))
 
 
-def _clear_slice(spark: SparkSession, target: str, schema: T.StructType, data_dt: str) -> None:
-    """Empty one date slice by overwriting it with no rows."""
-    data = [f for f in schema.fields if f.name not in COMPARISON_SLICE]
+def clear_slice(
+    spark: SparkSession, target: str, schema: T.StructType, values: Mapping[str, str]
+) -> None:
+    """Empty one slice, given by the values of its columns, by overwriting it with no rows."""
+    for value in values.values():
+        if not _SLICE_VALUE.fullmatch(value):
+            raise ValueError(f"not a plain slice value: {value!r}")
+    data = [f for f in schema.fields if f.name not in values]
     nothing = spark.createDataFrame([], T.StructType(data))
     if is_path(target):
-        nothing.write.mode("overwrite").parquet(f"{target}/data_dt={data_dt}")
+        place = "/".join(f"{name}={value}" for name, value in values.items())
+        nothing.write.mode("overwrite").parquet(f"{target}/{place}")
     else:
+        given = ", ".join(f"{name} = :{name}" for name in values)
         spark.sql(
-            "INSERT OVERWRITE TABLE IDENTIFIER(:t) PARTITION (data_dt = :d) SELECT * FROM {nothing}",
-            args={"t": target, "d": data_dt},
+            f"INSERT OVERWRITE TABLE IDENTIFIER(:t) PARTITION ({given}) SELECT * FROM {{nothing}}",
+            args={"t": target, **values},
             nothing=nothing,
         )
 
@@ -146,7 +153,7 @@ def replace_comparison(
     rows = stamped.select(*M.COMPARISON_TABLE_SCHEMA.fieldNames())
     written = write_slices(rows, target, COMPARISON_SLICE, overwrite=True)
     if written == 0:
-        _clear_slice(comparison.sparkSession, target, M.COMPARISON_TABLE_SCHEMA, data_dt)
+        clear_slice(comparison.sparkSession, target, M.COMPARISON_TABLE_SCHEMA, {"data_dt": data_dt})
     return written
 
 
@@ -154,20 +161,18 @@ def export_metrics_tsv(long: DataFrame, path: str) -> int:
     """Long metrics as TSV without header; NULL is written as the word (K3)."""
     rows, seen = counted(as_metric_rows(long))
     writer = rows.write.mode("overwrite").option("sep", "\t").option("header", False)
-    writer.option("nullValue", "NULL").option("timestampFormat", M.COMPUTED_AT_FORMAT).csv(path)
+    writer = writer.option("nullValue", "NULL").option("timestampFormat", M.COMPUTED_AT_FORMAT)
+    writer.option("escape", '"').csv(path)
     return rows_seen(seen)
 
 
 def export_csv(df: DataFrame, path: str, columns: Sequence[str]) -> int:
-    """CSV with header and fixed column order; writes nothing if there are no rows.
+    """CSV with header and fixed column order, in one pass.
 
-    Meant for stored or small results: the emptiness check is a job of its own.
+    Without rows an earlier export at that place is gone too: what is left has no rows.
     """
-    rows = df.select(*columns)
-    if rows.isEmpty():
-        return 0
-    rows, seen = counted(rows)
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    rows, seen = counted(df.select(*columns))
+    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return rows_seen(seen)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +56,12 @@ def read_stats_csv(
     names = STATS_SCHEMA.fieldNames()
     try:
         if header:
-            rows = spark.read.option("header", True).csv(path)
+            paths = [path] if isinstance(path, str) else path
+            # Each under its own header: columns of several files may stand in another order.
+            parts = [spark.read.option("header", True).option("escape", '"').csv(p) for p in paths]
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         else:
-            rows = spark.read.schema(_strings(names)).csv(path)
+            rows = spark.read.schema(_strings(names)).option("escape", '"').csv(path)
     except AnalysisException as error:
         if missing_ok and error.getCondition() == "PATH_NOT_FOUND":
             empty = spark.createDataFrame([], _strings(names))
@@ -86,6 +90,7 @@ def read_metrics_tsv(
         .option("sep", "\t")
         .option("header", header)
         .option("nullValue", "NULL")
+        .option("escape", '"')
         .csv(path)
     )
     return rows.withColumn("computed_at", F.col("computed_at").try_cast("timestamp"))

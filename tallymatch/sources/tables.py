@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
+from pyspark.errors import PySparkValueError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,10 +15,31 @@ from .metastore import RELATIONS
 def open_table(
     spark: SparkSession, name: str, tables: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
-    """The frame given for a name, else the catalog table ``db.table``."""
-    if tables is not None and name in tables:
-        return tables[name]
-    return spark.table(name)
+    """The frame given for a name; without a mapping the catalog table ``db.table``.
+
+    A mapping is complete: a name that it lacks is an absent table, not one of the catalog.
+    """
+    if tables is None:
+        return spark.table(name)
+    if name not in tables:
+        raise PySparkValueError(f"table {name} is not among the tables given")
+    return tables[name]
+
+
+def side_tables(
+    spark: SparkSession,
+    names: Iterable[str],
+    tables: Mapping[str, DataFrame] | None = None,
+    namespace: str | None = None,
+) -> dict[str, DataFrame]:
+    """The tables that one side has: those of a mapping, or those that exist in a namespace of the catalog.
+
+    With a namespace, ``db.table`` is read as ``namespace.table``.
+    """
+    if tables is not None:
+        return {name: tables[name] for name in names if name in tables}
+    full = {n: n if namespace is None else f"{namespace}.{n.rpartition('.')[2]}" for n in names}
+    return {n: spark.table(f) for n, f in full.items() if spark.catalog.tableExists(f)}
 
 
 def is_path(target: str) -> bool:

@@ -96,7 +96,7 @@ def test_plan_has_one_join_per_relation_and_pushes_filters(spark, store, folder)
     for name in RELATIONS:
         getattr(store, name).write.parquet(f"{folder}/{name}")
     plan = plan_of(catalog_stats(file_metastore(spark, folder), "20250324"))
-    assert plan.count("Join") == 6
+    assert plan.count("Join") == 7
     assert "In(PARAM_KEY, [" in plan
     assert "StringContains(PART_NAME,=2025-03-24)" in plan
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -163,3 +163,12 @@ def test_result_does_not_depend_on_row_order(spark):
         side = long(spark, items).repartition(5)
         seen.add(rows(compare_metrics(side, long(spark, {"a": "0"}, "new")), "old_value")[0])
     assert len(seen) == 1
+
+
+def test_exact_scale_does_not_round(spark):
+    from tallymatch.functions.verdict import metric_status
+
+    pairs = [("1.0001", "1.0002"), ("1.00", "1.000"), ("1.10", "1.1"), ("1.005", "1.005"), ("7", "7.0")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = {r[0]: r[1] for r in df.select("a", metric_status(F.col("a"), F.col("b"), 2)).collect()}
+    assert got == {"1.0001": "FAIL", "1.00": "PASS", "1.10": "PASS", "1.005": "FAIL", "7": "PASS"}

@@ -201,3 +201,39 @@ def test_narrow_specs_give_the_same_metrics(spark):
     one = collect_metrics_by_partition(spark, [spec], "old", tables=frames, computed_at=AT).metrics
     many = collect_metrics_by_partition(spark, narrow, "old", tables=frames, computed_at=AT).metrics
     assert rows(one) == rows(many) and one.count() == 16
+
+
+def _one_bad(spark):
+    good = spark.createDataFrame([("1",)], "amount string")
+    return {"a": good, "b": good.select(F.raise_error(F.lit("boom")).cast("string").alias("amount"))}
+
+
+@pytest.mark.parametrize("per_job", [1, 200])
+def test_slice_is_replaced_whole_or_not_at_all(spark, folder, per_job):
+    specs = [TableSpec.of(n, (), {"amount": "decimal(10,2)"}) for n in ("a", "b")]
+    tables = _one_bad(spark)
+    fine = {"a": tables["a"], "b": tables["a"]}
+    store = lambda t, **how: store_metrics(
+        spark, specs, "d", "old", f"{folder}/s", tables=t, overwrite=True, tables_per_job=per_job, **how
+    )
+    assert store(fine) == {}
+    before = rows(spark.read.parquet(f"{folder}/s"), "table_name", "metric_name", "computed_at")
+    assert len(before) == 4 and len({r[2] for r in before}) == 1
+    with pytest.raises(Exception, match="boom"):
+        store(tables)
+    assert rows(spark.read.parquet(f"{folder}/s"), "table_name", "metric_name", "computed_at") == before
+    assert set(store(tables, on_error="skip")) == {"b"}
+    assert {r[0] for r in rows(spark.read.parquet(f"{folder}/s"), "table_name")} == {"a"}
+
+
+def test_nothing_measured_raises(spark, folder):
+    spec = TableSpec.of("b", (), {"amount": "decimal(10,2)"})
+    with pytest.raises(RuntimeError, match="nothing was measured"):
+        store_metrics(spark, [spec], "d", "old", f"{folder}/s", tables=_one_bad(spark), on_error="skip")
+
+
+def test_sides_are_never_the_same_catalog(spark):
+    with pytest.raises(ValueError, match="same tables"):
+        reconcile_metrics(spark, [TableSpec.of("t")], "d")
+    with pytest.raises(ValueError, match="neither side"):
+        reconcile_partitions(spark, [TableSpec.of("t", ["dt"])], {}, {})

@@ -16,6 +16,7 @@ from tallymatch.sinks import (
     create_tables,
     export_comparison_csv,
     export_metrics_tsv,
+    export_csv,
     export_stats_csv,
     replace_comparison,
     rows_seen,
@@ -145,9 +146,21 @@ def test_tsv_round_trip(spark, folder):
     assert rows(back, *picked) == rows(given, *picked)
 
 
-def test_exports_write_nothing_without_rows(spark, folder):
-    assert export_comparison_csv(comparison(spark, "d"), f"{folder}/c") == 0
-    assert not os.path.exists(f"{folder}/c")
+def test_export_without_rows_leaves_no_earlier_ones(spark, folder):
+    given = spark.createDataFrame(
+        [("shop", "a", "MANAGED_TABLE", "dt=1", 731, 4783, 1, 511525, 0, "d")], M.STATS_SCHEMA
+    )
+    assert export_stats_csv(given, f"{folder}/s") == 1
+    assert export_stats_csv(given.where("false"), f"{folder}/s") == 0
+    assert read_stats_csv(spark, f"{folder}/s", missing_ok=True).count() == 0
+
+
+def test_export_runs_its_plan_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+    rows_in = spark.sparkContext.parallelize(range(10), 2).map(lambda k: (seen.add(1), (str(k), k))[1])
+    df = spark.createDataFrame(rows_in, "a string, b long")
+    assert export_csv(df, f"{folder}/once", ["a", "b"]) == 10
+    assert seen.value == 10
 
 
 def test_stats_export_puts_values_under_their_header(spark, folder):

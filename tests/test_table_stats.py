@@ -42,3 +42,21 @@ def test_raw_size_estimate(spark, folder):
     spark.sql("select 1 as a, 'xy' as b").write.parquet(f"{folder}/t")
     stats = table_stats(spark.read.parquet(f"{folder}/t"), "shop", "t", estimate_raw_size=True)
     assert rows(stats, "raw_data_size") == [(len('{"a":1,"b":"xy"}'),)]
+
+
+def test_empty_files_are_listed(spark, folder):
+    """A file without rows counts as a file, with its bytes, where the folder is given."""
+    place = f"{folder}/t"
+    years = [(2023, k) for k in range(10)] + [(2024, k) for k in range(5)]
+    spark.createDataFrame(years, "y int, k long").repartition(2, "k").write.partitionBy("y").parquet(place)
+    spark.createDataFrame([], "k long").coalesce(1).write.mode("append").parquet(f"{place}/y=2024")
+    df = spark.read.parquet(place)
+    found = {
+        r.partition_name: r
+        for r in table_stats(df, "d", "t", partition_cols=["y"], path=place).collect()
+    }
+    for year, n in ((2023, 10), (2024, 5)):
+        files = [f for f in os.listdir(f"{place}/y={year}") if f.endswith(".parquet")]
+        row = found[f"y={year}"]
+        assert (row.num_rows, row.num_files) == (n, len(files))
+        assert row.total_size == sum(os.path.getsize(f"{place}/y={year}/{f}") for f in files)
