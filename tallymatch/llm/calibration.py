@@ -58,7 +58,9 @@ class Logistic:
     weight: np.ndarray
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale @ self.weight[1:] + self.weight[0], -30, 30)
+        # Summed row by row, so that a row's score does not depend on the rows beside it.
+        z = ((x - self.mean) / self.scale * self.weight[1:]).sum(axis=1) + self.weight[0]
+        z = np.clip(z, -30, 30)
         return 1 / (1 + np.exp(-z))
 
 

@@ -22,11 +22,12 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +50,14 @@ EDGE = " "
 
 @dataclass(frozen=True)
 class Settings:
-    rows: int = 4000
+    rows: int = 3000
     chars: int = 32_000
     common_bytes: int = 16_384
     typical_bytes: int = 4096
-    #: A part of a word is typical of a class if it is in so many unrelated texts of it, and in
-    #: so many times the share of them that the other class has.
+    #: A part of a word is typical of a class if it is in so many unrelated texts of it, in such a
+    #: share of them, and in so many times the share that the other class has.
     least_texts: int = 5
+    least_share: float = 0.01
     lift: float = 20
 
 
@@ -76,8 +78,8 @@ def parts_of(word: str) -> set[str]:
     return {word, *(" " + word[:n] for n in PARTS if n < len(word))}
 
 
-def unrelated(texts: list[list[str]]) -> list[int]:
-    """A group for each text: copies and near copies share one.
+def unrelated(texts: list[tuple[str, ...]]) -> list[int]:
+    """A group for each text, given by its distinct words: copies and near copies share one.
 
     Two texts are related if they share two of their eight smallest hashes of long words,
     or all their words.
@@ -91,32 +93,38 @@ def unrelated(texts: list[list[str]]) -> list[int]:
 
     first: dict = {}
     for i, words in enumerate(texts):
-        least = sorted({zlib.crc32(w.encode()) for w in words if len(w) >= 10})[:8]
-        for key in [" ".join(words), *combinations(least, 2)]:
+        least = sorted(zlib.crc32(w.encode()) for w in words if len(w) >= 10)[:8]
+        for key in [words, *combinations(least, 2)]:
             parent[root(i)] = root(first.setdefault(key, i))
     return [root(i) for i in range(len(texts))]
 
 
-def _texts_with(texts: list[list[str]]) -> tuple[dict[str, int], int]:
-    """For each word and word part, the number of unrelated texts with it; and the number of unrelated texts."""
-    found, groups = defaultdict(set), unrelated(texts)
-    for words, group in zip(texts, groups, strict=True):
-        for part in set().union(*map(parts_of, set(words))):
-            found[part].add(group)
-    return {w: len(g) for w, g in found.items()}, max(1, len(set(groups)))
-
-
-def _typical(
-    texts: list[list[str]], own: tuple[dict, int], other: tuple[dict, int], settings: Settings
-) -> bytes:
-    """Words of ``texts`` that have a typical part, the most typical at the end, where offsets are short."""
-    (here, n), (there, m) = own, other
-
-    def weight(part: str) -> int:
-        k = here[part]
-        return k if k >= settings.least_texts and k / n >= settings.lift * (there.get(part, 0) + 0.5) / m else 0
-
-    chosen = {w: max(map(weight, parts_of(w))) for w in set().union(*texts) if len(w) > 3}
+class Holders:
+    """How many unrelated texts have a word part; counted only as far as asked, to save memory."""
+
+    def __init__(self, texts: list[tuple[str, ...]]):
+        self.groups: dict[int, set[str]] = {}
+        for words, group in zip(texts, unrelated(texts), strict=True):
+            self.groups.setdefault(group, set()).update(words)
+        self.n = max(1, len(self.groups))
+
+    def count(self, among: set[str] | None = None) -> Counter[str]:
+        found: Counter[str] = Counter()
+        for words in self.groups.values():
+            parts = set().union(*map(parts_of, words))
+            found.update(parts if among is None else parts & among)
+        return found
+
+
+def _typical(own: Holders, other: Holders, settings: Settings) -> bytes:
+    """Words of ``own`` that have a typical part, the most typical at the end, where offsets are short."""
+    least = max(settings.least_texts, settings.least_share * own.n)
+    here = Counter({part: k for part, k in own.count().items() if k >= least})
+    there = other.count(set(here))
+    share = settings.lift / other.n
+    weight = {part: k for part, k in here.items() if k / own.n >= share * (there[part] + 0.5)}
+    words = set().union(*own.groups.values())
+    chosen = {w: max(weight.get(part, 0) for part in parts_of(w)) for w in words if len(w) > 3}
     ranked = sorted((w for w in chosen if chosen[w]), key=lambda w: (chosen[w], here[w], w))
     return (EDGE + EDGE.join(ranked) + EDGE).encode()[-settings.typical_bytes :]
 
@@ -124,17 +132,19 @@ def _typical(
 def train_dictionaries(texts: list[str], labels: list[int], settings: Settings) -> tuple[bytes, bytes]:
     import zstandard
 
-    words = [words_of(t) for t in texts]
-    ordinary = [w for w, y in zip(words, labels, strict=True) if not y]
-    toxic = [w for w, y in zip(words, labels, strict=True) if y]
-    samples = [(EDGE + EDGE.join(w) + EDGE).encode() for w in ordinary if w]
+    samples, distinct = [], ([], [])
+    for text, label in zip(texts, labels, strict=True):
+        words = words_of(text)
+        distinct[label].append(tuple(sorted(map(intern, set(words)))))
+        if words and not label:
+            samples.append((EDGE + EDGE.join(words) + EDGE).encode())
     try:
         common = zstandard.train_dictionary(settings.common_bytes, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: the samples are the dictionary
         common = b" ".join(samples)[-settings.common_bytes :]
-    counts = _texts_with(ordinary), _texts_with(toxic)
-    seen = _typical(toxic, counts[1], counts[0], settings)
-    usual = _typical(ordinary, counts[0], counts[1], settings)
+    del samples
+    ordinary, toxic = map(Holders, distinct)
+    seen, usual = _typical(toxic, ordinary, settings), _typical(ordinary, toxic, settings)
     room = max(len(seen), len(usual))  # so that both reach the common part over one distance
     return (
         common + usual.rjust(room) + CARRIER,
