@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from tallymatch.llm import chat, html_text, quality_classifier, toxicity
 
 SF = "/root/testdata/sf0.1"
+SMALL = "/root/testdata/sf0.01"
 
 
 @pytest.mark.parametrize(
@@ -32,8 +33,8 @@ def test_held_out_accuracy(spark, module, query, label, least):
 
 @pytest.mark.parametrize("module", [toxicity, quality_classifier])
 def test_classifier_cases(spark, module, nasty, empty):
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
-    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     model = module.train(docs, labels)
     rows = module.score(nasty, model).collect()
     assert len(rows) == nasty.count() and all(0 <= r.score <= 1 for r in rows)
@@ -61,7 +62,7 @@ def _turned(labels, module, name):
 
 
 def test_toxicity_stage(spark, nasty):
-    kept = toxicity.stage(spark, nasty, SF)
+    kept = toxicity.stage(spark, nasty, SMALL)
     assert kept.columns == nasty.columns
     assert {r.doc_id for r in kept.collect()} <= {r.doc_id for r in nasty.collect()}
     assert 1 in {r.doc_id for r in kept.collect()}
