@@ -179,6 +179,25 @@ def test_templates_drop_constant_and_linked_slots(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_copies_keep_their_text(spark):
+    """Equal pages are no evidence of a template, alone on a host or beside other pages."""
+    copy = "<html><body><h1>{0}</h1><p>One {0}.</p><table><tr><td>Cell {0}</table></body></html>"
+    other = '<html><body><h1 id="other">Other {0}</h1><p>Two {0}.</p></body></html>'
+    rows = [(k, "http://copies.example/", copy.format("same")) for k in range(4)]
+    rows += [(7, "http://row.example/", copy.format("row"))] * 3
+    rows += [(k, "http://mixed.example/", copy.format("mixed")) for k in range(10, 14)]
+    rows += [(k, "http://mixed.example/", other.format(k)) for k in range(20, 24)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in html_text.extract(df).collect())
+    said = lambda x: f"{x}\nOne {x}.\nCell {x}"
+    assert got == sorted(
+        [(k, said("same")) for k in range(4)]
+        + [(7, said("row"))] * 3
+        + [(k, said("mixed")) for k in range(10, 14)]
+        + [(k, f"Other {k}\nTwo {k}.") for k in range(20, 24)]
+    )
+
+
 def df_text():
     from pyspark.sql import functions as F
 
