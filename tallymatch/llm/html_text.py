@@ -7,8 +7,12 @@ is valid if it nests: outside the class its elements have one parent, in one oth
 root.  Valid classes, nested into each other, are the template; what stands between their tokens
 are slots.  Slots that hold the same text on every page, mostly links, or that lie in menus, headers,
 footers, sidebars, notices, adverts, forms, scripts or comments are furniture; the slots left
-are extracted, in page order.  Where a host has an article (or main) element, slots outside of it
-are furniture too.
+are extracted, in page order.  The template judges articles (and main elements) like the rest of a
+page, but for links, as headlines of articles are often links.  Where anything is left of a page's
+articles, what stands outside of them is furniture too.
+
+Paragraphs of one parent are one token, so its first and its last text are slots of their own: a
+licence or a call to subscribe in a plain paragraph is the same at the end of every article.
 
 Vectors are compared by a 64-bit fingerprint that is summed up over the pages, so a host that
 holds a third of all pages is aggregated before anything is shuffled, and a template is a few rows.
@@ -78,10 +82,15 @@ NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 MASKS = 8
 
 ROLES = (
-    "host string, page_id long, role string, n int, chars long, link_chars long, text_hash long, page_hash long"
+    "host string, page_id long, role string, n int, chars long, link_chars long, text_hash long, "
+    "first_hash long, last_hash long, page_hash long"
 )
 TEXT = "page_id long, url string, text string"
 
+#: Behind a role: its first, or its last text on a page.
+FIRST, LAST = "\n^", "\n$"
+PARTS = (("first", FIRST), ("last", LAST))
+
 
 def _label(tag: str, rest: str) -> tuple[str, bool]:
     """How an element is written in a path, and whether its names make it furniture."""
@@ -184,7 +193,8 @@ def _digest(texts: list[str]) -> int:
 def roles_of(pages: DataFrame) -> DataFrame:
     """For each page, how often each token occurs, the texts of its slot, and those of the whole page."""
     ship(pages.sparkSession)
-    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 4)
+    schema = ROLES.replace("role string,", "role string, kind string,")
+    kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), *[pa.int64()] * 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,26 +212,27 @@ def roles_of(pages: DataFrame) -> DataFrame:
                             entry[2] += linked
                             entry[3].append(text)
                             said.setdefault(kind, []).append(text)
-                    # What tells pages apart is not their furniture: copies differ in dates and adverts.
-                    whole = _digest(said.get("article") or said.get("plain") or [])
+                    # What tells pages apart is their longer part: copies differ in dates and adverts.
+                    inside, outside = said.get("article", []), said.get("plain", [])
+                    whole = _digest(inside if sum(map(len, inside)) >= sum(map(len, outside)) else outside)
                     for (role, kind), (n, chars, linked, texts) in seen.items():
-                        digest = _digest(texts) if texts else None
-                        rows.append((row["host"], row["page_id"], role, kind, n, chars, linked, digest, whole))
+                        parts = (texts, texts[:1], texts[-1:]) if len(texts) > 1 else (texts,) * 3
+                        hashes = [_digest(part) for part in parts] if texts else [None] * 3
+                        rows.append((row["host"], row["page_id"], role, kind, n, chars, linked, *hashes, whole))
                 columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)],
-                    names=["host", "page_id", "role", "kind", "n", "chars", "link_chars", "text_hash", "page_hash"],
+                    names=re.findall(r"(\w+) \w+(?:, |$)", schema),
                 )
 
-    schema = ROLES.replace("role string,", "role string, kind string,")
     return pages.select("host", "page_id", "html").mapInArrow(run, schema)
 
 
 def templates(pages: DataFrame, folder: str) -> DataFrame:
-    """(host, role, kind, class, parent_class, valid, furniture) of every token of every host.
+    """(host, role, kind, class, parent_class, valid, furniture, first, last) of every token of every host.
 
     ``class`` is the fingerprint of the occurrence vector, ``parent_class`` that of the class a token's
-    class lies in.
+    class lies in.  ``first`` and ``last``: these texts of the token are furniture, whatever the others are.
     """
     tokens = stored(
         roles_of(pages)
@@ -235,8 +246,11 @@ def templates(pages: DataFrame, folder: str) -> DataFrame:
             F.sum("chars").alias("chars"),
             F.sum("link_chars").alias("link_chars"),
             F.count("text_hash").alias("texts"),
-            F.min("text_hash").alias("least"),
-            F.max("text_hash").alias("most"),
+            *(
+                f(f"{part}_hash").alias(f"{name}_{part}")
+                for part in ("text", "first", "last")
+                for name, f in (("least", F.min), ("most", F.max))
+            ),
             F.greatest(
                 *(
                     F.expr(f"bit_count(bit_or(shiftleft(1L, cast(shiftright(page_hash, {6 * k}) & 63 as int))))")
@@ -263,8 +277,13 @@ def templates(pages: DataFrame, folder: str) -> DataFrame:
         ),
         f"{folder}/classes",
     )
-    # Where all pages have one text in a slot, pages of different texts differ in the rest.
-    constant = (F.col("distinct") >= PAGES) & (F.col("texts") == F.col("pages")) & (F.col("least") == F.col("most"))
+    # Where all pages have one text in a slot, pages of different texts differ in the rest.  It belongs to
+    # the template where its token is part of a valid class.
+    settled = (F.col("distinct") >= PAGES) & (F.col("texts") == F.col("pages")) & F.col("valid")
+    constant, first, last = (
+        settled & (F.col("kind") != "furniture") & (F.col(f"least_{part}") == F.col(f"most_{part}"))
+        for part in ("text", "first", "last")
+    )
     linked = (F.col("chars") > 0) & (F.col("link_chars") > LINKS * F.col("chars"))
     plain = F.col("kind") == "plain"
     return owned.join(classes, ["host", "class"]).select(
@@ -277,18 +296,22 @@ def templates(pages: DataFrame, folder: str) -> DataFrame:
         "valid",
         "pages",
         "chars",
-        # A constant text belongs to the template where its token is part of a valid class.
-        ((F.col("kind") == "furniture") | (plain & ((constant & F.col("valid")) | linked))).alias("furniture"),
+        ((F.col("kind") == "furniture") | constant | (plain & linked)).alias("furniture"),
+        first.alias("first"),
+        last.alias("last"),
     )
 
 
 def slots_of(template: DataFrame) -> DataFrame:
-    """For each host, whether it has articles, and the plain roles that are furniture on its pages."""
-    return template.groupBy("host").agg(
-        F.max(F.col("kind") == "article").alias("articles"),
-        F.collect_set(F.when(F.col("furniture") & (F.col("kind") == "plain") & (F.col("chars") > 0), F.col("role"))).alias(
-            "dropped"
-        ),
+    """For each host, the roles outside of furniture that are dropped on its pages, whole or in part."""
+    role = F.col("role")
+    whole = F.when(F.col("furniture"), role)
+    parts = [F.when(~F.col("furniture") & F.col(name), F.concat(role, F.lit(mark))) for name, mark in PARTS]
+    return (
+        template.where((F.col("kind") != "furniture") & (F.col("chars") > 0))
+        .select("host", F.explode(F.array_compact(F.array(whole, *parts))).alias("slot"))
+        .groupBy("host")
+        .agg(F.collect_set("slot").alias("dropped"))
     )
 
 
@@ -299,11 +322,21 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 def main_text(page: str, dropped: set[str]) -> str:
     """The blocks of a page that are not furniture, joined by line breaks."""
-    found = [(role, kind, text) for role, kind, text, _ in blocks(page)]
-    wanted = "article" if any(kind == "article" for _, kind, _ in found) else "plain"
-    return "\n".join(
-        text for role, kind, text in found if text is not None and kind == wanted and role not in dropped
-    )
+    found = [b for b in blocks(page) if b[2] is not None and b[1] != "furniture"]
+    first: dict[str, int] = {}
+    last: dict[str, int] = {}
+    for k, (role, *_) in enumerate(found):
+        first.setdefault(role, k)
+        last[role] = k
+    kept = [
+        (kind, text)
+        for k, (role, kind, text, _) in enumerate(found)
+        if role not in dropped
+        and not (first[role] == k and role + FIRST in dropped)
+        and not (last[role] == k and role + LAST in dropped)
+    ]
+    wanted = "article" if any(kind == "article" for kind, _ in kept) else "plain"
+    return "\n".join(text for kind, text in kept if kind == wanted)
 
 
 def extract(pages: DataFrame) -> DataFrame:

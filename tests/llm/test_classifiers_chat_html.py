@@ -198,6 +198,21 @@ def test_copies_keep_their_text(spark):
     )
 
 
+def test_templates_judge_articles(spark):
+    """What all articles of a host repeat is furniture, in a neutral element or in a last paragraph."""
+    page = (
+        '<html><body><div class="a">Outside {0}</div><article><div class="b">By the staff</div><h1>Title {0}</h1>'
+        '<p>Story {0}.</p><p>More {0}.</p><div class="c"><p>Read us daily</p></div><p>Licence: free.</p></article></body></html>'
+    )
+    boxed = '<html><body><article><div>Join us</div></article><div class="s"><p>Story {0}.</p></div></body></html>'
+    rows = [(k, "http://h.example/", page.format(k)) for k in range(4)]
+    rows += [(10 + k, "http://boxed.example/", boxed.format(k)) for k in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in html_text.extract(df).collect())
+    want = [(k, f"Title {k}\nStory {k}.\nMore {k}.") for k in range(4)]
+    assert got == want + [(10 + k, f"Story {k}.") for k in range(4)]
+
+
 def df_text():
     from pyspark.sql import functions as F
 
