@@ -14,6 +14,12 @@ articles, what stands outside of them is furniture too.
 Paragraphs of one parent are one token, so its first and its last text are slots of their own: a
 licence or a call to subscribe in a plain paragraph is the same at the end of every article.
 
+Names (classes, ids, roles) tell furniture only if all their words do: ``site-header``, but not
+``entry-header`` or ``has-sidebar``.  Never judged by names are html, body, main, articles and headings,
+nor what holds an article, unless the page has another article in no furniture (cards of
+articles in a list of related ones).  A form that holds an article, a headline or all text of the page
+is no furniture.
+
 Vectors are compared by a 64-bit fingerprint that is summed up over the pages, so a host that
 holds a third of all pages is aggregated before anything is shuffled, and a template is a few rows.
 
@@ -43,10 +49,12 @@ from .common import fresh_folder, ship, stored, table
 
 #: Fixed names of HTML: elements without an end, with raw text, and inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|math|object|canvas"
+RAW = "script|style|noscript|template|textarea|title|iframe|svg|object|canvas|annotation|annotation-xml"
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr br img".split()
+    "small span strike strong sub sup time tt u var wbr br img "
+    "math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub "
+    "msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 #: Elements that end an open paragraph, and those that end an open one of their kind.
 ENDS_P = frozenset(
@@ -58,19 +66,34 @@ ENDS_OWN = {
     "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"},
 }
 FURNITURE_TAGS = frozenset("head nav footer aside form button select dialog menu".split())
-FURNITURE = re.compile(
-    r"(^|[-_])(ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|"
+#: Words of names that tell furniture, and words that may stand beside them.
+WORDS_OF_FURNITURE = (
+    r"(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|"
     r"header|masthead|footer|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|"
-    r"login|search|share|sharing|social|related|recommend\w*|widget|comments?|disqus|replies|respond|pager|"
-    r"pagination|toolbar|skip|copyright|legal)([-_]|$)",
-    re.IGNORECASE,
+    r"login|search|share|sharing|social|related|recommend\w*|widgets?|comments?|disqus|replies|respond|pager|"
+    r"pagination|toolbar|skip|copyright|legal)"
+)
+BESIDE = (
+    r"(?:site|global|top|bottom|left|right|main|primary|secondary|sub|mobile|desktop|sticky|fixed|the|wp|js|"
+    r"area|bar|block|box|button|buttons|col|column|container|form|group|icon|icons|inner|item|items|link|links|list|"
+    r"panel|section|slot|unit|wrap|wrapper|articles|posts|stories|\d+)"
 )
+FURNITURE = re.compile(
+    rf"(?:{BESIDE}[-_]+)*{WORDS_OF_FURNITURE}(?:[-_]+(?:{BESIDE}|{WORDS_OF_FURNITURE}))*", re.IGNORECASE
+)
+HEADER = re.compile(rf"(?:{BESIDE}[-_]+)*header(?:[-_]+{BESIDE})*", re.IGNORECASE)
+UNNAMED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+#: Elements that a form holds only if it is there for the whole page.
+WHOLE = frozenset("article main h1 header nav".split())
 ARTICLE = frozenset(("article", "main"))
 PAGES = 3
 LINKS = 0.5
 
+#: Attributes up to a slash that is not part of a value.
+ATTRIBUTES = r"(?:\s+[^\s=>\"'/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+(?=\s)))?)*\s*"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<closed>" + RAW + r")" + ATTRIBUTES + r"/>(?![^<]*</(?P=closed)[\s>])"
+    r"|<(?P<raw>" + RAW + r")(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?](?:[^>]*)>|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|(?P<text>[^<]+|<)",
     re.DOTALL | re.IGNORECASE,
@@ -92,48 +115,109 @@ FIRST, LAST = "\n^", "\n$"
 PARTS = (("first", FIRST), ("last", LAST))
 
 
-def _label(tag: str, rest: str) -> tuple[str, bool]:
-    """How an element is written in a path, and whether its names make it furniture."""
+def _label(tag: str, rest: str) -> tuple[str, str]:
+    """How an element is written in a path, and what makes it furniture: its ``tag``, its ``name``, a ``header``."""
     names = []
     if rest and "=" in rest:
         for m in NAMED.finditer(rest):
             names += (m[2] or m[3] or m[4] or "").split()
     label = ".".join([tag, *(re.sub(r"\d+", "0", n) for n in names)])
-    return label, tag in FURNITURE_TAGS or any(FURNITURE.search(n) for n in names)
+    if tag in FURNITURE_TAGS:
+        return label, "tag"
+    found = () if tag in UNNAMED else [n for n in names if FURNITURE.fullmatch(n)]
+    if any(not HEADER.fullmatch(n) for n in found):
+        return label, "name"
+    return label, "header" if found or tag == "header" else ""
 
 
 class Element:
-    __slots__ = ("tag", "role", "kind", "link")
+    """``why``: what makes it furniture; ``outer``: the element around it that is no inline one."""
+
+    __slots__ = ("tag", "role", "why", "link", "outer", "holds", "whole", "chars", "kind")
 
-    def __init__(self, tag: str, role: str, kind: str, link: bool):
-        self.tag, self.role, self.kind, self.link = tag, role, kind, link
+    def __init__(self, tag: str, role: str, why: str, link: bool, outer: Element | None):
+        self.tag, self.role, self.why, self.link, self.outer = tag, role, why, link, outer
+        self.holds = self.whole = False
+        self.chars, self.kind = 0, ""
+
+
+def _kinds(elements: list[Element]) -> None:
+    for e in elements:
+        outer = e.outer.kind if e.outer else "plain"
+        named = e.why == "name" or (e.why == "header" and outer != "article")
+        if outer == "furniture" or (e.why == "tag" and not e.whole) or (named and not e.holds):
+            e.kind = "furniture"
+        else:
+            e.kind = "article" if outer == "article" or e.tag in ARTICLE else "plain"
+
+
+def _judge(elements: list[Element]) -> None:
+    """Sets the kind of all elements, given in page order; a few passes, whatever the depth."""
+    holds: set[Element] = set()
+    wraps: set[Element] = set()
+    for e in reversed(elements[1:]):
+        if e.tag in ARTICLE or e in holds:
+            holds.add(e.outer)
+        if e.tag in WHOLE or e in wraps:
+            wraps.add(e.outer)
+    forms = [e for e in elements if e.tag == "form"]
+    for e in forms:
+        e.whole = e in wraps
+    clear: set[Element] = set()  # those around which nothing is furniture by its tag or names
+    for e in elements:
+        if e.outer is None or (e.outer in clear and (not e.outer.why or e.outer.whole)):
+            clear.add(e)
+    if not any(e.tag in ARTICLE and e in clear for e in elements):
+        for e in holds:
+            e.holds = True
+    if any(not e.whole for e in forms):  # does all text that is no furniture lie in one of them?
+        whole = [e for e in forms if not e.whole]
+        for e in whole:
+            e.whole = True
+        _kinds(elements)
+        said = {e: e.chars if e.kind != "furniture" else 0 for e in elements}
+        for e in reversed(elements[1:]):
+            said[e.outer] += said[e]
+        for e in whole:
+            e.whole = 0 < said[e] == said[elements[0]]
+    _kinds(elements)
 
 
 def blocks(page: str) -> Iterator[tuple[str, str, str, int] | tuple[str, str, None, int]]:
     """(role, kind, text, characters in links) of every block, and (role, kind, None, 0) of every element.
 
-    kind: ``article`` inside an article, ``furniture`` by names, else ``plain``.
+    kind: ``article`` inside an article, ``furniture`` by tags and names, else ``plain``.
     """
-    stack = [Element("", "", "plain", False)]
+    found = _parsed(page)
+    root = found[0][0]
+    _judge([e for e, text, _ in found if text is None])
+    return ((e.role, e.kind, text, linked) for e, text, linked in found if e is not root or text is not None)
+
+
+def _parsed(page: str) -> list[tuple[Element, str | None, int]]:
+    """Elements, the root first, and blocks with the element that holds them."""
+    root = Element("", "", "", False, None)
+    stack = [root]
+    found: list[tuple[Element, str | None, int]] = [(root, None, 0)]
     text: list[str] = []
     links = 0
-    labels: dict[tuple[str, str], tuple[str, bool]] = {}
+    labels: dict[tuple[str, str], tuple[str, str]] = {}
 
-    def block() -> tuple[str, str, str, int] | None:
+    def block() -> None:
         nonlocal links
         if not text:
-            return None
+            return
         joined, linked = " ".join(entities.unescape("".join(text)).split()), links
         text.clear()
         links = 0
-        if not joined:
-            return None
-        holder = next(e for e in reversed(stack) if e.tag not in INLINE)
-        return holder.role, holder.kind, joined, linked
-
-    def close(until: int) -> Iterator[tuple[str, str, str, int]]:
-        if any(e.tag not in INLINE for e in stack[until:]) and (found := block()):
-            yield found
+        if joined:
+            holder = next(e for e in reversed(stack) if e.tag not in INLINE)
+            holder.chars += len(joined)
+            found.append((holder, joined, linked))
+
+    def close(until: int) -> None:
+        if any(e.tag not in INLINE for e in stack[until:]):
+            block()
         del stack[until:]
 
     for m in TOKEN.finditer(page):
@@ -150,40 +234,34 @@ def blocks(page: str) -> Iterator[tuple[str, str, str, int] | tuple[str, str, No
         if m["end"]:
             at = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag == tag), 0)
             if at:
-                yield from close(at)
+                close(at)
             continue
         if tag in INLINE:
             if tag == "br" or tag == "img":
                 text.append(" ")
             elif not m["rest"].endswith("/"):
                 top = stack[-1]
-                stack.append(Element(tag, top.role, top.kind, top.link or tag == "a"))
+                stack.append(Element(tag, top.role, "", top.link or tag == "a", None))
             continue
         ends = ENDS_OWN.get(tag, ()) or ("p",) if tag in ENDS_P or tag in ENDS_OWN else ()
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in ends:
-                yield from close(k)
+                close(k)
                 break
             if stack[k].tag not in INLINE and stack[k].tag not in ("p", "tr", "td", "th"):
                 break
-        if found := block():
-            yield found
+        block()
         key = (tag, m["rest"])
         if key not in labels:
             labels[key] = _label(tag, m["rest"])
-        label, furniture = labels[key]
+        label, why = labels[key]
         parent = next(e for e in reversed(stack) if e.tag not in INLINE)
-        inside = parent.kind == "article"
-        if parent.kind == "furniture" or furniture or (tag == "header" and not inside):
-            kind = "furniture"
-        else:
-            kind = "article" if inside or tag in ARTICLE else "plain"
-        role = f"{parent.role}/{label}"
-        yield role, kind, None, 0
+        element = Element(tag, f"{parent.role}/{label}", why, parent.link, parent)
+        found.append((element, None, 0))
         if tag not in VOID and not m["rest"].endswith("/"):
-            stack.append(Element(tag, role, kind, parent.link))
-    if found := block():
-        yield found
+            stack.append(element)
+    block()
+    return found
 
 
 def _digest(texts: list[str]) -> int:

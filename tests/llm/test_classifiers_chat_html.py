@@ -166,6 +166,33 @@ def test_odd_pages(page, text):
     assert html_text.main_text(page, set()) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<body class='has-sidebar'><p>a</p>", "a"),
+        ("<body class=sidebar><main class=menu><p>a</p></main>", "a"),
+        ("<p>out</p><article class='post tag-social category-legal'><p>a</p></article>", "a"),
+        ("<article><div class='entry-header'><h1>t</h1></div><p>a</p></article>", "t\na"),
+        ("<article><div class=header><h1>t</h1></div><p>a</p></article><div class=header>s</div>", "t\na"),
+        ("<div class='content-sidebar-wrap'><p>a</p></div><ul class='search-results'><li>b</ul>", "a\nb"),
+        ("<div class='overlay'><p>x</p><article><p>a</p></article></div>", "a"),
+        ("<article><p>a</p></article><div class=related-posts><article>card</article></div>", "a"),
+        ("<article><p>a</p><h2 id=legal>b</h2><div class='social-links'>c</div></article>", "a\nb"),
+        ("<div class=site-header>x</div><div class='cookie-notice'>x</div><p>a</p><div id=ad-slot-3>x</div>", "a"),
+        ("<form action=/><h1>t</h1><p>a</p></form>", "t\na"),
+        ("<form><div><p>a</p></div></form>", "a"),
+        ("<ul class=menu><li>n</ul><form><div><p>a</p></div></form><div class=footer>f</div>", "a"),
+        ("<p>a</p><form><p>name</form>", "a"),
+        ("<article><p>a</p><svg width='1'/><p>b</p></article>", "a\nb"),
+        ("<p>a<svg><path d=1/></svg>b<script src='x'/></script>c<script src=/x/>d()</script>e", "abce"),
+        ("<p>as <math display=block><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> is", "as x=2 is"),
+        ("<title-bar>a</title-bar><p>b", "a\nb"),
+    ],
+)
+def test_names_judge_no_whole_pages(page, text):
+    assert html_text.main_text(page, set()) == text
+
+
 def test_templates_drop_constant_and_linked_slots(spark):
     """Without an article, what all pages of a host say and lists of links are furniture."""
     page = (
