@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -133,6 +134,15 @@ def test_minhash(spark):
     assert any(c != k for k, (_, c) in want.items())
 
 
+def test_minhash_estimate_misses_few_pairs():
+    """A pair at the threshold falls below the estimate with a chance of about 1 in 10^9."""
+    for settings in (minhash.QUERY, minhash.STAGE):
+        agree = settings.percent / 100 * 0.75 + 0.25
+        room = (settings.percent / 100 - settings.least_estimate) * 0.75
+        sigmas = room / (agree * (1 - agree) / settings.minima) ** 0.5
+        assert math.erfc(sigmas / 2**0.5) / 2 < 2e-9
+
+
 def test_minhash_cases(spark, nasty, empty):
     rows = minhash.link(nasty, minhash.QUERY).collect()
     assert len(rows) == nasty.count()
