@@ -68,6 +68,31 @@ def test_toxicity_stage(spark, nasty):
     assert 1 in {r.doc_id for r in kept.collect()}
 
 
+def test_held_out_toxic_rows(spark):
+    """Few rows are toxic, so accuracy says little of them.  Found on sf0.1: 77 of 97, and 77 of 81 are right."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    rows = toxicity.toxicity(spark, SF).where("held_out").join(labels, "doc_id").collect()
+    hits = sum(r.predicted and r.toxic for r in rows)
+    toxic, predicted = sum(r.toxic for r in rows), sum(r.predicted for r in rows)
+    assert toxic > 50
+    assert hits / toxic >= 0.75 and hits / predicted >= 0.9
+
+
+def test_toxicity_stage_removes_toxic(spark):
+    """Of labelled rows the model has not seen, the stage takes 77 of 97 toxic ones and leaves 724 of 728 clean ones."""
+    from pyspark.sql import functions as F
+
+    from tallymatch.llm.calibration import held_out
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    aside = held_out(F.col("doc_id"), toxicity.MODULUS, toxicity.REMAINDER)
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where(aside)
+    kept = {r.doc_id for r in toxicity.stage(spark, docs, SF).select("doc_id").collect()}
+    toxic, clean = ([r.doc_id for r in labels.where(f"toxic = {k}").collect()] for k in (1, 0))
+    assert sum(k in kept for k in toxic) <= 0.25 * len(toxic)
+    assert sum(k in kept for k in clean) >= 0.98 * len(clean)
+
+
 def test_chat(spark):
     sf = "/root/testdata/sf0.01"
     turns = defaultdict(list)
