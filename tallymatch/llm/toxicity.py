@@ -1,8 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text.  Both hold the same
-ordinary text; where one goes on with ordinary segments, the other has segments that are
-typical of toxic texts.  A text is compressed window by window (a window is a word) under both:
+There are two zstandard dictionaries.  Both hold the same dictionary, trained on ordinary text; where
+one goes on with words typical of ordinary texts, the other has words typical of toxic ones, picked
+by counting.  A text is compressed window by window (a window is a word) under both:
 where the toxic dictionary saves bytes, the window is written in toxic language.  How many
 windows save at least 4, 5, 6, ... bytes, beside the length of the text, gives a calibrated score.
 
