@@ -21,7 +21,8 @@ articles in a list of related ones).  A form that holds an article, a headline o
 is no furniture.
 
 Vectors are compared by a 64-bit fingerprint that is summed up over the pages, so a host that
-holds a third of all pages is aggregated before anything is shuffled, and a template is a few rows.
+holds a third of all pages is aggregated before anything is shuffled.  A template has a row for each
+role of a host: few, unless ids or classes differ from page to page.
 
 A page is parsed twice, for the vectors and for its text, which costs less than to store or shuffle
 what the first pass finds.
@@ -435,7 +436,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     names=["page_id", "url", "text"],
                 )
 
-    # Hosts are matched to their few slots; a host with a third of all pages is split by adaptive execution.
+    # Hosts are matched to their slots: few where names of elements are, but not bounded.  A host with a third of all pages is split by adaptive execution.
     return hosted.join(slots, "host", "left").select("page_id", "url", "html", "dropped").mapInArrow(run, TEXT)
 
 
