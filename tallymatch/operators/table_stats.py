@@ -54,7 +54,7 @@ def table_stats(
     totals = files.groupBy(*parts).agg(
         F.coalesce(F.sum("rows"), zero).alias("num_rows"),
         F.coalesce(F.sum("bytes"), zero).alias("total_size"),
-        F.sum("files").alias("num_files"),
+        F.coalesce(F.sum("files"), zero).alias("num_files"),
         raw.alias("raw_data_size"),
     )
     levels = [F.concat(F.lit(f"{p}="), name_col(p).cast("string")) for p in partition_cols]

@@ -10,8 +10,6 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -33,13 +31,3 @@ def spark():
 def folder(tmp_path):
     return str(tmp_path)
 
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples, NULLs first."""
-    picked = df.select(*columns) if columns else df
-    found = [tuple(r) for r in picked.collect()]
-    return sorted(found, key=lambda r: tuple((v is not None, str(v)) for v in r))

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 
 from tallymatch.model import STATS_SCHEMA
 from tallymatch.operators import Metastore, catalog_stats, params_wide, partition_stats, table_level_stats

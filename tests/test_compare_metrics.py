@@ -5,7 +5,7 @@ import random
 from datetime import datetime
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from tallymatch.operators import compare_row_counts, compare_stats_wide, preview

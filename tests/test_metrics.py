@@ -4,7 +4,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import SF_DIR, plan_of, rows
+from helpers import SF_DIR, plan_of, rows
 from pyspark.sql import functions as F
 
 from tallymatch import TableSpec, specs_from_json

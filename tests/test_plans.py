@@ -4,7 +4,7 @@ import os
 from datetime import datetime
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

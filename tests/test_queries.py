@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import SF_DIR
+from helpers import SF_DIR
 from oracle import assert_matches, connect
 
 import __spark_entry__ as driver

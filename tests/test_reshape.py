@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from tallymatch.functions import as_missing, dashed_date, dashed_date_text, to_long

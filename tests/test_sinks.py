@@ -5,7 +5,7 @@ import uuid
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import glob
 import os
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 
 from tallymatch.model import STATS_SCHEMA
 from tallymatch.operators import table_stats
