@@ -5,11 +5,13 @@ from . import (
     byte_bpe,
     chat,
     exact_dedup,
+    fill_in_middle,
     html_text,
     minhash,
     packing,
     quality_classifier,
     quality_rules,
+    token_join,
     toxicity,
 )
 
@@ -24,6 +26,8 @@ MODULES = (
     exact_dedup,
     packing,
     html_text,
+    token_join,
+    fill_in_middle,
 )
 
 
