@@ -473,13 +473,16 @@ WITH d AS (
   FROM documents
 ), pieces AS (
   SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
-), w AS (
-  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), numbered AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), words AS (
+  SELECT lang, piece, unnest(w) AS x, unnest(range(len(w))) AS i FROM numbered
+), ahead AS (
+  SELECT lang, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM words WINDOW p AS (PARTITION BY piece ORDER BY i)
 ), grams AS (
-  SELECT lang, unnest(w) AS phrase, 1 AS k FROM w
-  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])), 2 FROM w
-  UNION ALL SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])), 3
-            FROM w
+  SELECT lang, x AS phrase, 1 AS k FROM ahead
+  UNION ALL SELECT lang, x || ' ' || y, 2 FROM ahead WHERE y IS NOT NULL
+  UNION ALL SELECT lang, x || ' ' || y || ' ' || z, 3 FROM ahead WHERE z IS NOT NULL
 ), f AS (
   SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL
 ), n AS (
@@ -487,15 +490,17 @@ WITH d AS (
 ), c AS (
   SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10
 ), cuts AS (
-  SELECT lang, phrase, k, a, unnest(range(1, k)) AS at, w FROM c
+  SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS cut FROM c
+), sides AS (
+  SELECT lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS one, array_to_string(w[cut + 1:], ' ') AS two FROM cuts
 ), parts AS (
-  SELECT c.lang, c.phrase, c.a, c.at, x.f AS l, y.f AS r,
-         CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
-  FROM cuts c
-  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.at], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.at + 1:], ' ')
+  SELECT s.lang, s.phrase, s.a, s.cut, x.f AS l, y.f AS r,
+         CAST((1000000::HUGEINT * s.a * s.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM sides s
+  JOIN f x ON x.lang = s.lang AND x.phrase = s.one
+  JOIN f y ON y.lang = s.lang AND y.phrase = s.two
 ), best AS (
-  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, at) = 1
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ), longer AS (
   SELECT lang, phrase, max(a) AS g
   FROM (SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE k = 3)

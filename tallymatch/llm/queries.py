@@ -4,6 +4,7 @@ from . import (
     bit_planes,
     byte_bpe,
     chat,
+    collocations,
     exact_dedup,
     fill_in_middle,
     html_text,
@@ -26,6 +27,7 @@ MODULES = (
     exact_dedup,
     packing,
     html_text,
+    collocations,
     token_join,
     fill_in_middle,
 )
