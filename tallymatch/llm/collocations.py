@@ -33,28 +33,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bitmaps import Bitmap
+from .byte_words import ByteWords, byte_kinds
 from .common import fresh_folder, ship, slices, stored, table
 from .minhash import mixed
 
 #: Hashes that a task holds before it sends their distinct ones.
 HELD = 4_000_000
 #: Keys of a trie, and bytes of tries that one pass broadcasts (a single trie may exceed them).
-TRIE_KEYS = 1 << 19
-TRIE_BYTES = 16 << 20
-PASS_BYTES = 96 << 20
+TRIE_KEYS = 1 << 18
+TRIE_BYTES = 8 << 20
+PASS_BYTES = 48 << 20
 
-SPACE, END = 32, 10
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-
-
-def _byte_kinds() -> np.ndarray:
-    kinds = np.zeros(256, dtype=np.uint8)  # 0: byte of a word
-    kinds[list(b" \t")] = 1
-    kinds[list(b".,;:!?\n\x0b\x0c\r")] = 2
-    return kinds
-
-
-KINDS = _byte_kinds()
+KINDS = byte_kinds(between=b" \t", parting=b".,;:!?\n\x0b\x0c\r")
 
 
 @dataclass(frozen=True)
@@ -72,49 +62,21 @@ class Settings:
 QUERY = Settings()
 
 
-class Words:
-    """The words of several texts in one array of bytes.
-
-    A word is followed by one byte: a space if the next word is in the same piece, else an end.
-    """
+class Words(ByteWords):
+    """The words of several texts; one is followed by a space if the next word is in the same piece, else by an end."""
 
     def __init__(self, texts: list[str], langs: list[str]):
         import xxhash
 
-        encoded = [t.encode("utf-8", "surrogatepass").translate(LOWER) for t in texts]
-        raw = np.frombuffer(b"\n".join(encoded) + b"\n", dtype=np.uint8)
-        kinds = KINDS[raw]
-        parted = kinds > 0
-        after = np.ones(len(raw), dtype=bool)  # whether the byte before is none of a word
-        after[1:] = parted[:-1]
-        run = np.flatnonzero(parted & ~after)
-        marks = raw.copy()
-        if len(run):
-            marks[run] = np.where(np.maximum.reduceat(kinds, run) == 2, END, SPACE)
-        kept = ~parted | ~after
-        self.bytes = marks[kept]
-        self.starts = (np.cumsum(kept) - 1)[~parted & after]
-        self.ends = np.flatnonzero(KINDS[self.bytes] > 0)
-        self.last = self.bytes[self.ends] == END
-        size = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) + 1
-        document = np.searchsorted(np.cumsum(size), np.flatnonzero(~parted & after), side="right")
+        super().__init__(texts, KINDS)
         self.langs = sorted(set(langs))
         of_lang = {lang: k for k, lang in enumerate(self.langs)}
-        self.lang = np.array([of_lang[lang] for lang in langs], dtype=np.int64)[document]
+        self.lang = np.array([of_lang[lang] for lang in langs], dtype=np.int64)[self.document]
         self.salts = np.array([xxhash.xxh3_64_intdigest(lang.encode()) for lang in self.langs], dtype=np.uint64)
 
     def hashes(self) -> np.ndarray:
         """A hash of the language and the bytes of every word."""
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
-        lengths = self.ends - self.starts
-        powers = np.full(int(lengths.max()) + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        place = np.arange(len(self.bytes)) - np.repeat(self.starts, lengths + 1)
-        values = (self.bytes.astype(np.uint64) + np.uint64(1)) * powers[place]
-        values[self.ends] = 0
-        return mixed(np.add.reduceat(values, self.starts) ^ self.salts[self.lang])
+        return mixed(super().hashes() ^ self.salts[self.lang])
 
     def phrases(self, length: int, frequent: list[Bitmap]) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of all phrases of a length whose shorter parts may be frequent."""
@@ -204,21 +166,25 @@ def candidate_texts(docs: DataFrame, frequent: list[Broadcast]) -> DataFrame:
 class DoubleArray:
     """A trie of sorted byte strings: child of state s by byte c is base[s] + c if check says so.
 
-    Built level by level.  Several children of a state get a span of free slots of their own, and single
+    Bytes are coded by how often the keys have them, so that codes of siblings lie close.  Built level by
+    level: several children of a state get a span of free slots of their own, and single
     children fill what spans leave open.  A state with one key left ends there: its base is
     -1 - key, and the rest of the key is kept as a tail.
     """
 
     FIRST = 256  # so that a base is never below 1
 
-    def __init__(self, base, check, key, tails, tail_starts):
+    def __init__(self, base, check, key, tails, tail_starts, codes):
         self.base, self.check, self.key, self.tails, self.tail_starts = base, check, key, tails, tail_starts
+        self.codes = codes
 
     @classmethod
     def build(cls, keys: list[bytes]) -> DoubleArray:
         data = np.frombuffer(b"".join(keys) + b"\0", dtype=np.uint8)
         lengths = np.fromiter(map(len, keys), dtype=np.int64, count=len(keys))
         offsets = np.cumsum(lengths) - lengths
+        codes = np.zeros(256, dtype=np.uint8)
+        codes[np.argsort(-np.bincount(data, minlength=256), kind="stable")] = np.arange(256)
         states, low, high = np.zeros(1, np.int64), np.zeros(1, np.int64), np.full(1, len(keys), np.int64)
         bases, checks, own = [], [], []
         tail_from = lengths.copy()
@@ -235,14 +201,14 @@ class DoubleArray:
             count = high - low
             parent = np.repeat(np.arange(len(states)), count)
             index = np.arange(len(parent)) + np.repeat(low - (np.cumsum(count) - count), count)
-            byte = data[offsets[index] + depth].astype(np.int64)
+            byte = codes[data[offsets[index] + depth]].astype(np.int64)
             first = np.ones(len(index), dtype=bool)
             first[1:] = (parent[1:] != parent[:-1]) | (byte[1:] != byte[:-1])
             at = np.flatnonzero(first)
             parent, byte = parent[at], byte[at]
             children = np.bincount(parent, minlength=len(states))
             start = np.cumsum(children) - children
-            least, most = byte[start], byte[start + children - 1]
+            least, most = (f.reduceat(byte, start) if len(start) else start for f in (np.minimum, np.maximum))
             many = children > 1
             base = np.zeros(len(states), dtype=np.int64)
             spans = np.where(many, most - least + 1, 0)
@@ -271,7 +237,7 @@ class DoubleArray:
         tail = lengths - tail_from
         tail_starts = np.concatenate([[0], np.cumsum(tail)]).astype(np.int64)
         picked = np.arange(int(tail.sum())) + np.repeat(offsets + tail_from - tail_starts[:-1], tail)
-        return cls(out["base"], out["check"], out["key"], data[picked], tail_starts)
+        return cls(out["base"], out["check"], out["key"], data[picked], tail_starts, codes)
 
     @property
     def size(self) -> int:
@@ -279,7 +245,7 @@ class DoubleArray:
 
     def counts(self, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """How often each key stands at a start, followed by the end of a word."""
-        ends = KINDS[text] > 0
+        ends, coded = KINDS[text] > 0, self.codes[text]
         hits = [np.zeros(0, dtype=np.int64)]
         at, state = starts, np.zeros(len(starts), dtype=np.int64)
         while len(at):
@@ -290,7 +256,7 @@ class DoubleArray:
                 at, state, base = at[~alone], state[~alone], base[~alone]
             key = self.key[state]
             hits.append(key[(key >= 0) & ends[at]].astype(np.int64))
-            child = base.astype(np.int64) + text[at]
+            child = base.astype(np.int64) + coded[at]
             on = self.check[child] == state
             at, state = at[on] + 1, child[on]
         return np.bincount(np.concatenate(hits), minlength=self.size)
@@ -312,7 +278,7 @@ class DoubleArray:
         return key[found]
 
 
-TRIE = "trie string, lang string, base binary, checks binary, keys binary, tails binary, starts binary, phrases array<string>"
+TRIE = "trie string, lang string, base binary, checks binary, keys binary, tails binary, starts binary, codes binary, phrases array<string>"
 
 
 def built_tries(keys: DataFrame, folder: str, trie_keys: int = TRIE_KEYS) -> DataFrame:
@@ -329,8 +295,8 @@ def built_tries(keys: DataFrame, folder: str, trie_keys: int = TRIE_KEYS) -> Dat
             encoded = [p.encode("utf-8", "surrogatepass") for p in held]
             t = DoubleArray.build(encoded)
             name = xxhash.xxh3_128_hexdigest(f"{of_lang}\n{held[0]}".encode("utf-8", "surrogatepass"))
-            arrays = (t.base, t.check, t.key, t.tails, t.tail_starts)
-            names = ("base", "checks", "keys", "tails", "starts")
+            arrays = (t.base, t.check, t.key, t.tails, t.tail_starts, t.codes)
+            names = ("base", "checks", "keys", "tails", "starts", "codes")
             return pa.RecordBatch.from_pydict(
                 {
                     "trie": [name],
@@ -378,10 +344,11 @@ def counted_phrases(docs: DataFrame, tries: DataFrame, folder: str, pass_bytes:
 
 
 def _counted(docs: DataFrame, tries: DataFrame) -> DataFrame:
-    rows = tries.select("trie", "lang", "base", "checks", "keys", "tails", "starts").collect()
-    dtypes = {"base": np.int32, "checks": np.int32, "keys": np.int32, "tails": np.uint8, "starts": np.int64}
+    dtypes = {"base": np.int32, "checks": np.int32, "keys": np.int32, "tails": np.uint8, "starts": np.int64, "codes": np.uint8}
+    rows = tries.select("trie", "lang", *dtypes).toArrow()  # at most PASS_BYTES, or one trie
+    arrays = [[np.frombuffer(c.as_buffer(), dtype=t) for c in rows[n]] for n, t in dtypes.items()]
     loaded = docs.sparkSession.sparkContext.broadcast(
-        [(r.trie, r.lang, [np.frombuffer(r[n], dtype=t) for n, t in dtypes.items()]) for r in rows]
+        list(zip(rows["trie"].to_pylist(), rows["lang"].to_pylist(), zip(*arrays, strict=True), strict=True))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
