@@ -12,10 +12,10 @@
    needs the shorter of two prefixes only.
    Combinations are made of prefixes up to ``PAIRED`` shingles; longer ones hold single
    shingles instead.  Sets around that size have both kinds of keys, so every pair has one in common.
-4. Under a key, members are compared with one centre (a star, a few rounds of them with
-   different centres), and what is linked is contracted.  Then, once, all pairs under a key whose
-   components still differ are compared, if sizes and positions allow a link.
-5. Every link is confirmed on full sets of 64-bit hashes.
+4. Under a key, members are paired with a few centres (stars), and links are contracted.  Then, once,
+   all pairs under a key whose components still differ are compared.  Sizes, positions and
+   parity bitmaps of the sets, all of them exact bounds, leave out what cannot be a link.
+5. Every link is confirmed on full sets of 64-bit hashes, read for the nodes of such pairs only.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a text of fewer
 words than a shingle is one shingle; repeated rows get equal results; rows that share a
@@ -35,10 +35,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bitmaps import Bitmap
+from .byte_words import ByteWords, byte_kinds
 from .common import fresh_folder, ship, slices, stored, table
-from .minhash import FOLD, WORDS, contract, mixed, shingles, word_hashes
+from .minhash import contract, mixed
 
-MEMO = 200_000
 CHUNK = 1 << 12
 
 #: The shingle sketch has 2^14 to 2^20 counters.
@@ -47,10 +47,15 @@ SKETCH_BITS = (14, 20)
 #: Longest prefix whose frequent shingles are indexed in pairs: at most 496 of them a document.
 PAIRED = 32
 
-#: Rounds of stars before all pairs between components are compared; they save work only.
+#: Centres of a key that its members are compared with before all pairs between components are; they save work only.
 STARS = 3
 
-SIGNED = "doc_id long, digest binary, n_shingles long, keys array<long>, room array<int>"
+#: Bits of a set's parity bitmap.
+PARITY_BITS = 512
+
+KINDS = byte_kinds(between=b"\x20\x09\x0a\x0b\x0c\x0d")
+
+SIGNED = "doc_id long, digest binary, n_shingles long, keys array<long>, room array<int>, parity array<long>"
 
 
 @dataclass(frozen=True)
@@ -83,22 +88,49 @@ QUERY = Settings(width=3, percent=90)
 
 
 class Shingler:
-    def __init__(self, settings: Settings):
-        self.settings, self.memo = settings, {}
-
-    def words(self, text: str) -> list[str]:
-        return WORDS.findall(text.translate(FOLD))
-
-    def set_of(self, words: list[str]) -> np.ndarray:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        return shingles(word_hashes(words, self.memo), self.settings.width)
+    """Shingle hashes of several texts."""
+
+    def __init__(self, texts: list[str], settings: Settings):
+        self.words, self.width = ByteWords(texts, KINDS), settings.width
+        self.hashes = self.words.hashes()
+        self.counts = np.bincount(self.words.document, minlength=len(texts))
+        self.firsts = np.cumsum(self.counts) - self.counts
+        n = max(0, len(self.hashes) - self.width + 1)
+        self.windows = np.full(n, self.width, dtype=np.uint64)
+        for k in range(self.width):
+            self.windows = mixed(self.windows + self.hashes[k : k + n])
+
+    def all_of(self, text: int) -> np.ndarray:
+        """Shingles of one text in order; with fewer words than a shingle, all of them are one."""
+        first, count = self.firsts[text], self.counts[text]
+        if count >= self.width:
+            return self.windows[first : first + count - self.width + 1]
+        if not count:
+            return self.hashes[:0]
+        whole = np.full(1, count, dtype=np.uint64)
+        for k in range(count):
+            whole = mixed(whole + self.hashes[first + k : first + k + 1])
+        return whole
+
+    def set_of(self, text: int) -> np.ndarray:
+        return np.unique(self.all_of(text))
+
+    def digest(self, text: int) -> bytes:
+        """128 bits of the words, each followed by a space but the last."""
+        import xxhash
 
+        first, count = self.firsts[text], self.counts[text]
+        if not count:
+            return xxhash.xxh3_128_digest(b"")
+        words = self.words
+        return xxhash.xxh3_128_digest(words.bytes[words.starts[first] : words.ends[first + count - 1]].tobytes())
 
-def digest_of(words: list[str]) -> bytes:
-    import xxhash
 
-    return xxhash.xxh3_128_digest("\n".join(words).encode())
+def parity_of(found: np.ndarray) -> np.ndarray:
+    """Of every bit, whether an odd number of shingles falls on it.  Bits that differ between
+    two sets are no more than the shingles that only one of them has."""
+    bits = np.bincount((found & np.uint64(PARITY_BITS - 1)).view(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def frequency_classes(docs: DataFrame, settings: Settings) -> np.ndarray:
@@ -112,9 +144,10 @@ def frequency_classes(docs: DataFrame, settings: Settings) -> np.ndarray:
     bits = min(max(docs.count().bit_length() + 2, low), high)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(settings), np.zeros(1 << bits, dtype=np.int64)
+        counts = np.zeros(1 << bits, dtype=np.int64)
         for _, texts in slices(batches):
-            found = np.concatenate([shingler.set_of(shingler.words(text)) for text in texts])
+            shingler = Shingler(texts, settings)
+            found = np.concatenate([shingler.all_of(k) for k in range(len(texts))])
             counts += np.bincount((found >> np.uint64(64 - bits)).view(np.int64), minlength=1 << bits)
         chunks = counts.reshape(-1, CHUNK)
         yield pa.RecordBatch.from_pydict(
@@ -173,107 +206,85 @@ def keys_of(found: np.ndarray, classes: np.ndarray, settings: Settings) -> tuple
 
 
 def sign(docs: DataFrame, classes: np.ndarray, settings: Settings) -> DataFrame:
-    """Digest, set size and index keys of every document."""
+    """Digest, set size, index keys and parity bitmap of every document."""
     spark = docs.sparkSession
     ship(spark)
     table_of = spark.sparkContext.broadcast(classes)  # one byte for each counter of the sketch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(settings)
         for ids, texts in slices(batches):
-            digests, sizes, keys, rooms = [], [], [], []
-            for text in texts:
-                words = shingler.words(text)
-                found = shingler.set_of(words)
+            shingler = Shingler(texts, settings)
+            sizes, keys, rooms, parities = [], [], [], []
+            for k in range(len(texts)):
+                found = shingler.set_of(k)
                 key, room = keys_of(found, table_of.value, settings) if len(found) else (found, found.astype(np.int32))
-                digests.append(digest_of(words))
                 sizes.append(len(found))
                 keys.append(key.view(np.int64))
                 rooms.append(room)
+                parities.append(parity_of(found))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(ids, type=pa.int64()),
-                    "digest": pa.array(digests, type=pa.binary()),
+                    "digest": pa.array([shingler.digest(k) for k in range(len(texts))], type=pa.binary()),
                     "n_shingles": pa.array(sizes, type=pa.int64()),
                     "keys": pa.array(keys, type=pa.list_(pa.int64())),
                     "room": pa.array(rooms, type=pa.list_(pa.int32())),
+                    "parity": pa.array(parities, type=pa.list_(pa.int64())),
                 }
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, rows: int, settings: Settings) -> DataFrame:
-    """The full sets of the wanted (digest, doc_id), one row a digest.
+def sets_of(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """(node, shingles): the full sets of the wanted (node, digest, doc_id).
 
     A bitmap in every task leaves out most documents that are not wanted, so that no text
-    is shuffled; the few that pass by chance do no harm.
+    is shuffled; the few that pass by chance find no partner in the join.
     """
     spark = docs.sparkSession
     ship(spark)
-    bitmap = spark.sparkContext.broadcast(Bitmap.of(wanted.select(F.xxhash64("digest", "doc_id")), rows))
+    marks = wanted.select(F.xxhash64("digest", "doc_id"))
+    bitmap = spark.sparkContext.broadcast(Bitmap.of(marks, wanted.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        shingler = Shingler(settings)
-
-        def passes(digest: bytes, key: int | None) -> bool:
-            if key is None:
-                return False
-            mark = xxhash.xxh64_intdigest(digest, seed=42)  # as the SQL function does it
-            mark = xxhash.xxh64_intdigest(struct.pack("<q", key), seed=mark)
-            return bool(bitmap.value.holds(np.array([mark], dtype=np.uint64))[0])
+        def mark(digest: bytes, key: int | None) -> int:  # as the SQL function does it
+            first = xxhash.xxh64_intdigest(digest, seed=42)
+            return first if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), seed=first)
 
         for ids, texts in slices(batches):
-            digests, found = [], []
-            for key, text in zip(ids, texts, strict=True):
-                words = shingler.words(text)
-                digest = digest_of(words)
-                if passes(digest, key):
-                    digests.append(digest)
-                    found.append(shingler.set_of(words).view(np.int64))
+            shingler = Shingler(texts, settings)
+            digests = [shingler.digest(k) for k in range(len(texts))]
+            marks = np.array([mark(d, k) for d, k in zip(digests, ids, strict=True)], dtype=np.uint64)
+            passed = np.flatnonzero(bitmap.value.holds(marks)).tolist()
             yield pa.RecordBatch.from_pydict(
                 {
-                    "digest": pa.array(digests, type=pa.binary()),
-                    "shingles": pa.array(found, type=pa.list_(pa.int64())),
+                    "digest": pa.array([digests[k] for k in passed], type=pa.binary()),
+                    "shingles": pa.array([shingler.set_of(k).view(np.int64) for k in passed], type=pa.list_(pa.int64())),
                 }
             )
 
-    sets = docs.select("doc_id", "text").mapInArrow(run, "digest binary, shingles array<long>")
-    return sets.groupBy("digest").agg(F.first("shingles").alias("shingles"))
-
-
-class BucketedSets:
-    """Sets in a table bucketed by digest, so that every round of checks shuffles its pairs only."""
-
-    def __init__(self, sets: DataFrame, folder: str):
-        self.spark, self.name = sets.sparkSession, f"token_sets_{folder.rpartition('-')[2]}"
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        writer = sets.repartition(buckets, "digest").write.format("parquet").bucketBy(buckets, "digest")
-        writer.sortBy("digest").option("path", f"{folder}/sets").saveAsTable(self.name)
-
-    def confirmed(self, pairs: DataFrame, settings: Settings, folder: str) -> DataFrame:
-        """The (a, b) of ``pairs`` whose full sets are similar enough.
-
-        The sets of ``a`` are read from files of their own: a centre may have a third of all
-        nodes as partners, and its pairs are split over tasks where both sides are plain exchanges.
-        """
-        sets = self.spark.table(self.name)
-        centres = pairs.select(F.col("a").alias("digest")).distinct()
-        own = stored(sets.hint("merge").join(centres, "digest", "left_semi").toDF("a", "sa"), f"{folder}/own")
-        both = F.size(F.array_intersect("sa", "sb"))
-        found = (
-            pairs.join(sets.toDF("b", "sb").hint("merge"), "b")
-            .join(own.hint("merge"), "a")
-            .where(both * 100 >= (F.size("sa") + F.size("sb") - both) * settings.percent)
-            .select("a", "b")
-        )
-        return stored(found, f"{folder}/found")
+    found = docs.select("doc_id", "text").mapInArrow(run, "digest binary, shingles array<long>")
+    found = found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
+    return found.join(wanted.select("node", "digest").hint("merge"), "digest").select("node", "shingles")
+
+
+def confirmed(near: DataFrame, sets: DataFrame, settings: Settings, folder: str) -> DataFrame:
+    """The (a, b) of ``near`` whose full sets are similar enough.
 
-    def drop(self) -> None:
-        """Forget the table; its files stay in the folder, as those of other steps do."""
-        self.spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": self.name})
+    All inputs are files, so that adaptive execution can split the pairs of a centre that
+    a third of all nodes have as partner.
+    """
+    both = F.size(F.array_intersect("sa", "sb"))
+    found = (
+        near.join(sets.toDF("b", "sb").hint("merge"), "b")
+        .join(sets.join(near.select(F.col("a").alias("node")).distinct(), "node", "left_semi").toDF("a", "sa").hint("merge"), "a")
+        .where(both * 100 >= (F.size("sa") + F.size("sb") - both) * settings.percent)
+        .select("a", "b")
+    )
+    return stored(found, f"{folder}/found")
 
 
 def room_for_link(settings: Settings, na: str, nb: str, ra: str, rb: str) -> Column:
@@ -284,113 +295,91 @@ def room_for_link(settings: Settings, na: str, nb: str, ra: str, rb: str) -> Col
     )
 
 
-def _placed(buckets: DataFrame, component: DataFrame | None) -> DataFrame:
-    if component is None:
-        return buckets.withColumn("c", F.col("node"))
-    joined = buckets.join(component.toDF("node", "component").hint("merge"), "node", "left")
-    return joined.select("key", "node", "size", "room", F.coalesce("component", "node").alias("c"))
-
-
-def _split(placed: DataFrame, *more: Column) -> DataFrame:
-    """Keys whose members are not all in one component."""
-    found = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), *more)
-    return found.where("low <> high").drop("low", "high")
+def parity_allows(settings: Settings, na: str, nb: str, pa_: str, pb: str) -> Column:
+    """Whether the parity bitmaps allow a link: an exact bound, so none is lost."""
+    differing = F.expr(
+        f"aggregate(zip_with({pa_}, {pb}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
+    )
+    return differing * (100 + settings.percent) <= (F.col(na) + F.col(nb)) * (100 - settings.percent)
 
 
-def star_pairs(placed: DataFrame, settings: Settings, step: int, folder: str) -> DataFrame:
-    """Under each key one centre, met by the nodes of other components; of its centres a node
-    takes the one that it shares most keys with, its likeliest link."""
-    centre = F.min_by(F.struct("node", "size", "room", "c"), F.xxhash64("node", F.lit(step))).alias("centre")
-    centres = stored(_split(placed, centre), f"{folder}/centres")
+def star_pairs(buckets: DataFrame, nodes: DataFrame, settings: Settings, folder: str) -> DataFrame:
+    """Pairs of nodes with centres of their keys: of all centres a node takes the one that it
+    shares most keys with, its likeliest link."""
+    orders = [F.xxhash64("node", F.lit(k)) for k in range(STARS)]
+    centre = [F.min_by(F.struct("node", "size", "room"), o) for o in orders]
+    centres = stored(buckets.groupBy("key").agg(F.array_distinct(F.array(*centre)).alias("centres")), f"{folder}/centres")
     met = (
-        placed.join(centres.hint("merge"), "key")
-        .where(F.col("c") != F.col("centre.c"))
-        .where(room_for_link(settings, "size", "centre.size", "room", "centre.room"))
+        buckets.join(centres.hint("merge"), "key")
+        .select("node", "size", "room", F.inline("centres").alias("a", "na", "ra"))
+        .where(F.col("node") != F.col("a"))
+        .where(room_for_link(settings, "size", "na", "room", "ra"))
+    )
+    counted = met.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    best = F.max_by("a", F.struct("n", "a")).alias("a")
+    pairs = counted.groupBy("b").agg(best)
+    ends = nodes.select("node", "size", "parity")
+    pairs = (
+        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        .join(ends.toDF("a", "na", "pa").hint("merge"), "a")
+        .join(ends.toDF("b", "nb", "pb").hint("merge"), "b")
+        .where(parity_allows(settings, "na", "nb", "pa", "pb"))
+    )
+    return stored(pairs.select("a", "b"), f"{folder}/star_pairs")
+
+
+def all_pairs(buckets: DataFrame, nodes: DataFrame, component: DataFrame, settings: Settings, folder: str) -> DataFrame:
+    """All pairs under a key between different components, as far as sizes, places and parities allow a link."""
+    placed = buckets.join(component.toDF("node", "component").hint("merge"), "node", "left")
+    placed = stored(placed.withColumn("c", F.coalesce("component", "node")).drop("component"), f"{folder}/placed")
+    split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    still = placed.join(split.select("key").hint("merge"), "key").join(nodes.select("node", "parity").hint("merge"), "node")
+    still = stored(still.select("key", "node", "size", "room", "c", "parity"), f"{folder}/still")
+    larger = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
+    fits = (
+        (F.col("ca") != F.col("cb"))
+        & larger
+        & room_for_link(settings, "na", "nb", "ra", "rb")
+        & parity_allows(settings, "na", "nb", "pa", "pb")
     )
-    counted = met.groupBy(F.col("centre.node").alias("a"), F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return counted.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
-
-
-def all_pairs(placed: DataFrame, settings: Settings, folder: str) -> DataFrame:
-    """All pairs under a key between different components, as far as sizes and places allow a link."""
-    split = stored(_split(placed), f"{folder}/split")
-    still = stored(placed.join(split.hint("merge"), "key"), f"{folder}/still")
-    larger = (F.col("size") < F.col("nb")) | ((F.col("size") == F.col("nb")) & (F.col("node") < F.col("b")))
-    fits = (F.col("c") != F.col("cb")) & larger & room_for_link(settings, "size", "nb", "room", "rb")
     # The smaller set is met in its shorter prefix.
-    return (
+    pairs = (
         still.where("room > 0")
-        .withColumnRenamed("key", "k")
+        .toDF("key", "a", "na", "ra", "ca", "pa")
         .hint("merge")
-        .join(still.toDF("key", "b", "nb", "rb", "cb"), (F.col("k") == F.col("key")) & fits)
-        .select(F.col("node").alias("a"), "b")
-        .distinct()
+        .join(still.toDF("other", "b", "nb", "rb", "cb", "pb"), (F.col("key") == F.col("other")) & fits)
     )
-
-
-def components(buckets: DataFrame, sets: BucketedSets, settings: Settings, folder: str) -> DataFrame | None:
-    """The component of every linked node."""
-    links = component = tested = None
-    step, last = 0, False
-    while not last:
-        last = step == STARS
-        here = f"{folder}/round_{step}"
-        placed = stored(_placed(buckets, component), f"{here}/placed")
-        pairs = all_pairs(placed, settings, here) if last else star_pairs(placed, settings, step, here)
-        if tested is not None:
-            for order in (("a", "b"), ("b", "a")):
-                pairs = pairs.join(tested.toDF(*order).hint("merge"), ["a", "b"], "left_anti")
-        pairs = stored(pairs, f"{here}/pairs")
-        found = sets.confirmed(pairs, settings, here)
-        tested = pairs if tested is None else stored(tested.union(pairs.select("a", "b")), f"{here}/tested")
-        if not found.isEmpty():
-            links = found if links is None else stored(links.union(found), f"{here}/links")
-            component = contract(links, f"{here}/contract")
-            step += 1
-        else:
-            step = STARS  # centres find nothing more
-    return component
+    return stored(pairs.select("a", "b").distinct(), f"{folder}/pairs")
 
 
 def link(docs: DataFrame, settings: Settings = QUERY) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
-    spark, folder = docs.sparkSession, fresh_folder(docs.sparkSession)
+    folder = fresh_folder(docs.sparkSession)
     signed = stored(sign(docs, frequency_classes(docs, settings), settings), f"{folder}/signed")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     nodes = stored(
-        usable.groupBy("digest").agg(
+        usable.groupBy("digest")
+        .agg(
             F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").cast("int").alias("size"),
             F.first("keys").alias("keys"),
             F.first("room").alias("room"),
-        ),
+            F.first("parity").alias("parity"),
+        )
+        .withColumn("node", F.monotonically_increasing_id()),
         f"{folder}/nodes",
     )
-    entries = nodes.select(F.col("digest").alias("node"), "size", F.inline(F.arrays_zip("keys", "room"))).select(
-        F.col("keys").alias("key"), "node", "size", "room"
-    )
-    shared = stored(
-        entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), f"{folder}/shared"
+    buckets = shared_keys(nodes, folder)
+    component = components(docs, nodes, buckets, settings, folder)
+    members = stored(
+        nodes.select("node", "digest", "doc_id")
+        .join(component.toDF("node", "component").hint("merge"), "node", "left")
+        .select("digest", "doc_id", F.coalesce("component", "node").alias("component")),
+        f"{folder}/members",
     )
-    buckets = stored(entries.join(shared.hint("merge"), "key"), f"{folder}/buckets")
-    met = buckets.select(F.col("node").alias("digest")).distinct()
-    wanted = stored(nodes.select("digest", "doc_id").join(met.hint("merge"), "digest", "left_semi"), f"{folder}/wanted")
-    rows = wanted.count()
-    component = None
-    if rows:
-        sets = BucketedSets(sets_of(docs, wanted, rows, settings), folder)
-        component = components(buckets, sets, settings, folder)
-        sets.drop()
-    settled = nodes.select("digest", F.col("doc_id").alias("component_id"))
-    if component is not None:
-        members = stored(
-            nodes.select("digest", "doc_id")
-            .join(component.toDF("digest", "component").hint("merge"), "digest", "left")
-            .select("digest", "doc_id", F.coalesce("component", "digest").alias("component")),
-            f"{folder}/members",
-        )
-        least = stored(members.groupBy("component").agg(F.min("doc_id").alias("component_id")), f"{folder}/least")
-        settled = stored(members.join(least.hint("merge"), "component").select("digest", "component_id"), f"{folder}/settled")
+    least = stored(members.groupBy("component").agg(F.min("doc_id").alias("component_id")), f"{folder}/least")
+    settled = members.join(least.hint("merge"), "component").select("digest", "component_id")
+    settled = stored(settled, f"{folder}/settled")
     return signed.join(settled.hint("merge"), "digest", "left").select(
         "doc_id",
         "n_shingles",
@@ -398,6 +387,45 @@ def link(docs: DataFrame, settings: Settings = QUERY) -> DataFrame:
     )
 
 
+def shared_keys(nodes: DataFrame, folder: str) -> DataFrame:
+    """(key, node, size, room) of all keys that two nodes or more have."""
+    entries = nodes.select("node", "size", F.inline(F.arrays_zip("keys", "room"))).select(
+        F.col("keys").alias("key"), "node", "size", "room"
+    )
+    counted = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(counted.select("key"), f"{folder}/shared")
+    return stored(entries.join(shared.hint("merge"), "key"), f"{folder}/buckets")
+
+
+def components(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, settings: Settings, folder: str) -> DataFrame:
+    """The component of every linked node, in two rounds: stars, then all that is left between components."""
+    spark = docs.sparkSession
+    none = spark.createDataFrame([], "a long, b long")
+    known, sets, links = None, None, none
+    component = none.toDF("node", "component")
+    for step in ("stars", "rest"):
+        here = f"{folder}/{step}"
+        if step == "stars":
+            near = star_pairs(buckets, nodes, settings, here)
+        else:
+            near = all_pairs(buckets, nodes, component, settings, here)
+        if near.isEmpty():
+            continue
+        ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+        wanted = nodes.select("node", "digest", "doc_id").join(ends.hint("merge"), "node", "left_semi")
+        if known is not None:
+            wanted = wanted.join(known.hint("merge"), "node", "left_anti")
+        wanted = stored(wanted, f"{here}/wanted")
+        if not wanted.isEmpty():
+            more = stored(sets_of(docs, wanted, settings), f"{here}/sets")
+            sets = more if sets is None else sets.union(more)
+            known = wanted.select("node")
+        found = confirmed(near, sets, settings, here)
+        links = links.union(found)
+        component = contract(links, f"{here}/contract")
+    return component
+
+
 def token_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query: the component of every document."""
     return link(table(spark, sf_dir, "documents"), QUERY)

@@ -125,14 +125,26 @@ def test_dense_group_below_the_threshold_makes_no_pairs(spark, folder):
     }
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     signed = token_join.sign(df, token_join.frequency_classes(df, QUERY), QUERY)
-    placed = signed.select(
-        F.col("digest").alias("node"), F.col("n_shingles").cast("int").alias("size"), F.inline(F.arrays_zip("keys", "room"))
-    ).select(F.col("keys").alias("key"), "node", "size", "room", F.col("node").alias("c"))
-    placed.write.parquet(f"{folder}/placed")
-    assert token_join.all_pairs(spark.read.parquet(f"{folder}/placed"), QUERY, folder).count() == 0
+    nodes = signed.selectExpr("doc_id as node", "cast(n_shingles as int) size", "keys", "room", "parity")
+    nodes.write.parquet(f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
+    nothing = spark.createDataFrame([], "node long, component long")
+    buckets = token_join.shared_keys(nodes, folder)
+    assert buckets.count() == 0
+    assert token_join.all_pairs(buckets, nodes, nothing, QUERY, folder).count() == 0
     assert found_of(spark, texts) == brute_links(texts, 3, 90)
 
 
+def test_parity_is_a_bound(spark):
+    """Differing bits are never more than shingles of one set only."""
+    draw = np.random.default_rng(1)
+    for _ in range(200):
+        a = np.unique(draw.integers(0, 1 << 63, int(draw.integers(1, 900)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: int(draw.integers(0, len(a) + 1))], draw.integers(0, 1 << 63, 40, dtype=np.uint64)]))
+        differing = np.bitwise_count(token_join.parity_of(a) ^ token_join.parity_of(b)).sum()
+        assert differing <= len(np.setxor1d(a, b))
+
+
 def test_filter_agrees_with_the_sql_hash(spark):
     digest, key = b"0123456789abcdef", -5
     df = spark.createDataFrame([(bytearray(digest), key)], "digest binary, doc_id long")
