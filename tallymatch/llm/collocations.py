@@ -69,6 +69,7 @@ class Words(ByteWords):
         import xxhash
 
         super().__init__(texts, KINDS)
+        self.texts = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=np.uint64)
         self.langs = sorted(set(langs))
         of_lang = {lang: k for k, lang in enumerate(self.langs)}
         self.lang = np.array([of_lang[lang] for lang in langs], dtype=np.int64)[self.document]
@@ -78,6 +79,10 @@ class Words(ByteWords):
         """A hash of the language and the bytes of every word."""
         return mixed(super().hashes() ^ self.salts[self.lang])
 
+    def marks(self, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """A hash of each phrase (first word, hash) together with the text it stands in."""
+        return mixed(hashes ^ self.texts[self.document[at]])
+
     def phrases(self, length: int, frequent: list[Bitmap]) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of all phrases of a length whose shorter parts may be frequent."""
         words = self.hashes()
@@ -107,25 +112,33 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def frequent_hashes(docs: DataFrame, length: int, frequent: list[Broadcast], least: int) -> DataFrame:
-    """(hash, n) of phrases of that length, at least ``least`` of them, by hash."""
+    """(hash, n, mark) of phrases of that length, at least ``least`` of them, by hash.
+
+    The mark belongs to one text that has the phrase, whichever has the least.
+    """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def sent() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *held]), return_counts=True)
+            none = np.zeros(0, dtype=np.uint64)
+            hashes, marks = (np.concatenate([none, *columns]) for columns in (zip(*held) if held else ((), ())))
             held.clear()
-            return pa.RecordBatch.from_pydict({"hash": pa.array(found.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+            found, first, n = np.unique(hashes, return_index=True, return_counts=True)
+            columns = {"hash": found.view(np.int64), "n": n.astype(np.int64), "mark": marks[first].view(np.int64)}
+            return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
         for words in words_of(batches):
-            held.append(words.phrases(length, [b.value for b in frequent])[1])
-            if sum(map(len, held)) > HELD:
+            at, hashes = words.phrases(length, [b.value for b in frequent])
+            held.append((hashes, words.marks(at, hashes)))
+            if sum(len(h) for h, _ in held) > HELD:
                 yield sent()
         yield sent()
 
-    counted = _source(docs).mapInArrow(run, "hash long, n long")
-    return counted.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    counted = _source(docs).mapInArrow(run, "hash long, n long, mark long")
+    summed = counted.groupBy("hash").agg(F.sum("n").alias("n"), F.min("mark").alias("mark"))
+    return summed.where(F.col("n") >= least)
 
 
 def word_totals(docs: DataFrame) -> DataFrame:
@@ -140,8 +153,12 @@ def word_totals(docs: DataFrame) -> DataFrame:
     return _source(docs).mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
 
 
-def candidate_texts(docs: DataFrame, frequent: list[Broadcast]) -> DataFrame:
-    """(lang, phrase) of all phrases of two words or more whose hash may be frequent."""
+def candidate_texts(docs: DataFrame, frequent: list[Broadcast], owned: Broadcast) -> DataFrame:
+    """(lang, phrase) of all phrases of two words or more whose hash may be frequent.
+
+    Read off the text whose mark was kept with the hash (``owned``) and its copies, so that not
+    every task sends every frequent phrase.
+    """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,6 +168,7 @@ def candidate_texts(docs: DataFrame, frequent: list[Broadcast]) -> DataFrame:
             for length in range(2, len(bitmaps) + 1):
                 at, hashes = words.phrases(length, bitmaps)
                 fits = bitmaps[length - 1].holds(hashes)
+                fits[fits] = owned.value.holds(words.marks(at[fits], hashes[fits]))
                 hashes, where = np.unique(hashes[fits], return_index=True)
                 place = np.minimum(np.searchsorted(sent, hashes), max(0, len(sent) - 1))
                 new = sent[place] != hashes if len(sent) else np.ones(len(hashes), dtype=bool)
@@ -417,7 +435,9 @@ def collocations(docs: DataFrame, settings: Settings = QUERY) -> DataFrame:
     for length in range(1, settings.words + 1):
         hashes = stored(frequent_hashes(docs, length, frequent, settings.least), f"{folder}/hashes_{length}")
         frequent.append(spark.sparkContext.broadcast(Bitmap.of(hashes.select("hash"), hashes.count())))
-    phrases = stored(candidate_texts(docs, frequent), f"{folder}/phrases")
+    marks = spark.read.parquet(*[f"{folder}/hashes_{k}" for k in range(2, settings.words + 1)]).select("mark")
+    owned = spark.sparkContext.broadcast(Bitmap.of(marks, marks.count()))
+    phrases = stored(candidate_texts(docs, frequent, owned), f"{folder}/phrases")
     words = phrases.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
     tries = built_tries(stored(phrases.union(words), f"{folder}/keys"), f"{folder}/tries")
     counts = stored(counted_phrases(docs, tries, f"{folder}/counts"), f"{folder}/counted")
