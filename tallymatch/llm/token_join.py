@@ -50,9 +50,6 @@ PAIRED = 32
 #: Centres of a key that its members are compared with before all pairs between components are; they save work only.
 STARS = 3
 
-#: Bits of a set's parity bitmap.
-PARITY_BITS = 512
-
 KINDS = byte_kinds(between=b"\x20\x09\x0a\x0b\x0c\x0d")
 
 SIGNED = "doc_id long, digest binary, n_shingles long, keys array<long>, room array<int>, parity array<long>"
@@ -127,9 +124,14 @@ class Shingler:
 
 
 def parity_of(found: np.ndarray) -> np.ndarray:
-    """Of every bit, whether an odd number of shingles falls on it.  Bits that differ between
-    two sets are no more than the shingles that only one of them has."""
-    bits = np.bincount((found & np.uint64(PARITY_BITS - 1)).view(np.int64), minlength=PARITY_BITS) & 1
+    """Of every bit, whether an odd number of shingles falls on it.
+
+    Bits that differ between two sets are no more than the shingles that only one of them
+    has.  There are as many bits as shingles at least (a power of two, from 64 on); the halves of a
+    bitmap combined by XOR are the bitmap of half the size.
+    """
+    size = max(64, 1 << (len(found) - 1).bit_length())
+    bits = np.bincount((found & np.uint64(size - 1)).view(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -297,8 +299,13 @@ def room_for_link(settings: Settings, na: str, nb: str, ra: str, rb: str) -> Col
 
 def parity_allows(settings: Settings, na: str, nb: str, pa_: str, pb: str) -> Column:
     """Whether the parity bitmaps allow a link: an exact bound, so none is lost."""
+    words = f"least(size({pa_}), size({pb}))"  # sizes that allow a link are less than twice each other
+
+    def folded(p: str) -> str:
+        return f"if(size({p}) > {words}, zip_with(slice({p}, 1, {words}), slice({p}, {words} + 1, {words}), (x, y) -> x ^ y), {p})"
+
     differing = F.expr(
-        f"aggregate(zip_with({pa_}, {pb}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
+        f"aggregate(zip_with({folded(pa_)}, {folded(pb)}, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x)"
     )
     return differing * (100 + settings.percent) <= (F.col(na) + F.col(nb)) * (100 - settings.percent)
 
