@@ -21,6 +21,30 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+# Character and the letter that stands for it behind a backslash.
+_ESCAPES = (("\t", "t"), ("\n", "n"), ("\r", "r"))
+
+
+def escaped(c: Column) -> Column:
+    """Text without tabs, line breaks or the bare word NULL; ``unescaped`` gives it back."""
+    out = F.replace(c, F.lit("\\"), F.lit("\\\\"))
+    for character, letter in _ESCAPES:
+        out = F.replace(out, F.lit(character), F.lit("\\" + letter))
+    return F.when(out == "NULL", F.lit("\\NULL")).otherwise(out)
+
+
+def unescaped(c: Column) -> Column:
+    """What was ``escaped``.  Between escaped backslashes every backslash begins an escape."""
+
+    def part(p: Column) -> Column:
+        for character, letter in _ESCAPES:
+            p = F.replace(p, F.lit("\\" + letter), F.lit(character))
+        return p
+
+    whole = F.array_join(F.transform(F.split(c, r"\\\\", -1), part), "\\")
+    return F.when(c == "\\NULL", F.lit("NULL")).otherwise(whole)
+
+
 def as_missing(c: Column) -> Column:
     """NULL, the empty string and the word NULL in any case all become NULL."""
     return F.when(~F.upper(c).isin("", "NULL"), c)

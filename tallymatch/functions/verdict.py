@@ -10,8 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import model as M
+from .decimals import canonical, exact_difference, fraction_digits
 from .text import blank_to_null
 
+#: As ``exact_scale``: numbers of any length are compared digit by digit.
+ANY_SCALE = "any"
+
 
 @dataclass(frozen=True)
 class ReasonText:
@@ -20,6 +24,7 @@ class ReasonText:
     old_missing: str
     new_missing: str
     mismatch: str  # put before "<old> vs <new>"
+    not_measured: str = "not measured"
 
 
 ENGLISH = ReasonText("missing in old cluster", "missing in new cluster", "values differ: ")
@@ -36,30 +41,38 @@ def numeric(c: Column, exact_scale: int | None = None) -> Column:
     """Text to number, NULL when it is not one.
 
     By default a DOUBLE, which hides differences beyond 2^53.  With
-    ``exact_scale`` a DECIMAL(38, exact_scale), which does not; text with more
-    digits than that is no such number, so it never equals another by rounding.
+    ``exact_scale`` a DECIMAL(38, exact_scale), which does not; text that needs more
+    digits behind the point is no such number, so it never equals another by rounding.
     """
     if exact_scale is None:
         return c.try_cast("double")
-    number = c.try_cast(f"decimal(38,{exact_scale})")
-    # A finer decimal tells whether casting rounded (NULL where it cannot hold the number at all).
-    finer = c.try_cast(f"decimal(38,{min(38, exact_scale + 12)})")
-    plain = F.length(F.regexp_extract(c, r"\.(\d*?)0*$", 1)) <= exact_scale
-    return F.when(F.coalesce(finer == number, plain), number)
+    return F.when(fraction_digits(c) <= exact_scale, c.try_cast(f"decimal(38,{exact_scale})"))
+
+
+def same_number(old: Column, new: Column, exact_scale: int | str | None = None) -> Column:
+    """Whether two texts are equal numbers; NULL if one is no number."""
+    if exact_scale == ANY_SCALE:
+        return canonical(old) == canonical(new)
+    return numeric(old, exact_scale) == numeric(new, exact_scale)
 
 
-def metric_status(old: Column, new: Column, exact_scale: int | None = None) -> Column:
+def metric_status(old: Column, new: Column, exact_scale: int | str | None = None) -> Column:
     """First match wins: MISSING_OLD, MISSING_NEW, PASS if equal as numbers, else FAIL."""
     return (
         F.when(_missing(old), M.MISSING_OLD)
         .when(_missing(new), M.MISSING_NEW)
-        .when(numeric(old, exact_scale) == numeric(new, exact_scale), M.PASS)
+        .when(same_number(old, new, exact_scale), M.PASS)
         .otherwise(M.FAIL)
     )
 
 
-def metric_diff(old: Column, new: Column, exact_scale: int | None = None) -> Column:
-    """new - old as a number; NULL if a side is missing or not numeric."""
+def metric_diff(old: Column, new: Column, exact_scale: int | str | None = None) -> Column:
+    """new - old; NULL if a side is missing or not numeric, or if no DECIMAL holds it.
+
+    A number, but plain text with ``ANY_SCALE``, as numbers of that mode have no common type.
+    """
+    if exact_scale == ANY_SCALE:
+        return exact_difference(new, old)
     return F.try_subtract(numeric(new, exact_scale), numeric(old, exact_scale))
 
 
@@ -69,6 +82,7 @@ def metric_reason(status: Column, old: Column, new: Column, wording: ReasonText
         F.when(status == M.MISSING_OLD, wording.old_missing)
         .when(status == M.MISSING_NEW, wording.new_missing)
         .when(status == M.FAIL, F.concat(F.lit(wording.mismatch), old, F.lit(" vs "), new))
+        .when(status == M.NOT_MEASURED, wording.not_measured)
     )
 
 

@@ -1,7 +1,8 @@
 """Data model: table specs, frame schemas and the values that make up the contract.
 
 Specs are driver-side configuration.  Everything else is a DataFrame; the
-schemas below are passed to every reader so nothing is ever inferred.
+schemas below are passed to readers of stored results; columns of CSV files are taken by
+their header, and tables under test have the types of their catalog or files.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ PASS = "PASS"
 FAIL = "FAIL"
 MISSING_OLD = "MISSING_OLD"
 MISSING_NEW = "MISSING_NEW"
+# Not one of the original states: nothing is known, so nothing is judged.
+NOT_MEASURED = "NOT_MEASURED"
 
 ONLY_IN_OLD = "only_in_old"
 ONLY_IN_NEW = "only_in_new"
@@ -43,6 +46,13 @@ STAT_PARAM_KEYS = {
     "raw_data_size": "rawDataSize",
 }
 
+# States of manifest entries.
+STARTED = "started"
+PLANNED = "planned"
+MEASURED = "measured"
+SKIPPED = "skipped"
+DONE = "done"
+
 METRICS_TABLE = "metrics_summary"
 COMPARISON_TABLE = "table_comparison"
 
@@ -64,6 +74,15 @@ METRIC_SCHEMA = T.StructType(
     + _text("data_dt")
 )
 
+MANIFEST_SCHEMA = T.StructType(
+    _text("run_id", "table_name", "state", "partition_col")
+    + [T.StructField("expected", T.ArrayType(T.StringType()))]
+    + _longs("rows_written")
+    + _text("reason")
+    + [T.StructField(n, T.TimestampType()) for n in ("first_at", "last_at", "recorded_at")]
+    + _text("cluster", "data_dt")
+)
+
 STATS_SCHEMA = T.StructType(
     _text("database_name", "table_name", "table_type", "partition_name")
     + _longs(*STAT_MEASURES, "last_access_time")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,11 +29,20 @@ STATS_KEY = ("database_name", "table_name", "partition_name")
 TABLE_KEY = ("database_name", "table_name")
 
 
-def _judge(pairs: DataFrame, exact_scale: int | None, wording: ReasonText) -> DataFrame:
-    """Verdict on pairs of values: keys, ``old_value`` and ``new_value`` come in."""
+def _judge(
+    pairs: DataFrame, exact_scale: int | str | None, wording: ReasonText, measured: Column | None = None
+) -> DataFrame:
+    """Verdict on pairs of values: keys, ``old_value`` and ``new_value`` come in.
+
+    Where ``measured`` is given and false, nothing is judged.
+    """
     old, new = F.col("old_value"), F.col("new_value")
     diff = metric_diff(old, new, exact_scale)
-    return pairs.withColumn("status", metric_status(old, new, exact_scale)).select(
+    status = metric_status(old, new, exact_scale)
+    if measured is not None:
+        status = F.when(~measured, M.NOT_MEASURED).otherwise(status)
+        diff = F.when(measured, diff)
+    return pairs.withColumn("status", status).select(
         *_METRIC_KEYS,
         "old_value",
         "new_value",
@@ -45,13 +54,84 @@ def _judge(pairs: DataFrame, exact_scale: int | None, wording: ReasonText) -> Da
 
 
 def _compare(
-    rows: DataFrame, is_old: Column, normalise: bool, exact_scale: int | None, wording: ReasonText
+    rows: DataFrame,
+    is_old: Column,
+    normalise: bool,
+    exact_scale: int | str | None,
+    wording: ReasonText,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
+    """Match tagged rows and judge the pairs.
+
+    ``expected`` keys belong to neither side.  They pass through the same grouping, so that what
+    no side measured is a row too, at no further shuffle.
+    """
+    if expected is not None:
+        rows = rows.unionByName(expected.select(*_METRIC_KEYS), allowMissingColumns=True)
     if normalise:
         rows = normalise_metrics(rows)
     pairs = pair_tagged(rows, is_old, _METRIC_KEYS, ("value",), ("computed_at",))
-    values = pairs.selectExpr(*_METRIC_KEYS, "old.value as old_value", "new.value as new_value")
-    return _judge(values, exact_scale, wording)
+    measured = None if expected is None else F.col("measured")
+    values = pairs.selectExpr(
+        *_METRIC_KEYS, "old.value as old_value", "new.value as new_value", "old is not null or new is not null as measured"
+    )
+    return _judge(values, exact_scale, wording, measured)
+
+
+def expected_metrics(spark: SparkSession, specs: Sequence[M.TableSpec], data_dt: str) -> DataFrame:
+    """The grid of what is to be measured for a date: a row per table and metric of the specs."""
+    grid = [(s.name, s.partition_col, metric, data_dt) for s in specs for metric in s.metrics]
+    return spark.createDataFrame(grid, "table_name string, partition_col string, metric_name string, data_dt string")
+
+
+def with_notes(compared: DataFrame, notes: Mapping[tuple[str, str], str], unmeasured: Iterable[tuple[str, str]] = ()) -> DataFrame:
+    """Say why a side has no metrics of a table.
+
+    ``notes`` hold reasons by (cluster, table), as many as there are specs at most.  Where the pair is also
+    in ``unmeasured``, the table is there but could not be measured, so a missing value is no verdict on it.
+    """
+    if not notes:
+        return compared
+    failed = set(unmeasured)
+    listed: dict[str, list] = {}
+    for (cluster, name), text in notes.items():
+        row = listed.setdefault(name, [name, None, None, False, False])
+        at = 1 if cluster == M.OLD else 2
+        row[at], row[at + 2] = text, (cluster, name) in failed
+    spark = compared.sparkSession
+    columns = "table_name string, _old string, _new string, _old_failed boolean, _new_failed boolean"
+    joined = compared.join(F.broadcast(spark.createDataFrame(list(listed.values()), columns)), "table_name", "left")
+    lost = (F.col("old_value").isNull() & F.col("_old_failed")) | (F.col("new_value").isNull() & F.col("_new_failed"))
+    status = F.when(lost, M.NOT_MEASURED).otherwise(F.col("status"))
+    said = [
+        F.when(F.col(f"{side}_value").isNull(), F.concat(F.lit(f"{side}: "), F.col(f"_{side}"))) for side in (M.OLD, M.NEW)
+    ]
+    reason = F.when(
+        (F.col("status") != M.PASS) & F.coalesce(*said).isNotNull(), F.concat_ws("; ", *said)
+    ).otherwise(F.col("reason"))
+    return joined.withColumns({"status": status, "reason": reason}).select(*compared.columns)
+
+
+def not_judged(compared: DataFrame, slices: Iterable[tuple[str, str]]) -> DataFrame:
+    """Take back the verdict on dates of which a cluster's (cluster, date) slice is not of a finished run."""
+    by_date: dict[str, list[str]] = {}
+    for cluster, data_dt in slices:
+        by_date.setdefault(data_dt, []).append(cluster)
+    if not by_date:
+        return compared
+    stale = F.col("data_dt").isin(*by_date)
+    which = F.lit(None).cast("string")
+    for data_dt, clusters in by_date.items():
+        text = f"run not finished: {', '.join(sorted(clusters))}"
+        which = F.when(F.col("data_dt") == data_dt, text).otherwise(which)
+    return compared.withColumns(
+        {
+            "status": F.when(stale, M.NOT_MEASURED).otherwise(F.col("status")),
+            "reason": F.when(stale, which).otherwise(F.col("reason")),
+            "diff": F.when(~stale, F.col("diff")),
+            "diff_num": F.when(~stale, F.col("diff_num")),
+        }
+    )
 
 
 def _pair_dates(
@@ -96,7 +176,7 @@ def compare_partitions(
     new: Mapping[str, DataFrame],
     *,
     dates: Sequence[str] | None = None,
-    exact_scale: int | None = None,
+    exact_scale: int | str | None = None,
     wording: ReasonText = ENGLISH,
 ) -> DataFrame:
     """Measure partitioned tables on both sides and compare every (given) date.
@@ -112,17 +192,20 @@ def compare_metrics(
     new: DataFrame,
     *,
     normalise: bool = True,
-    exact_scale: int | None = None,
+    exact_scale: int | str | None = None,
     wording: ReasonText = ENGLISH,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """Compare two long metric frames.
 
     Each side keeps the newest ``computed_at`` of a metric.  ``normalise`` folds
     the spellings of missing on both sides first; without it the word ``NULL``
     is a (non-numeric) value and a blank partition column is not a NULL one.
+    With ``expected`` keys (see ``expected_metrics``) what neither side has is a row
+    of status NOT_MEASURED.
     """
     rows = tag_sides(old, new, (*_METRIC_KEYS, "value", "computed_at"))
-    return _compare(rows, F.col(IS_OLD), normalise, exact_scale, wording)
+    return _compare(rows, F.col(IS_OLD), normalise, exact_scale, wording, expected)
 
 
 def compare_metric_slices(
@@ -132,8 +215,9 @@ def compare_metric_slices(
     old: str = M.OLD,
     new: str = M.NEW,
     normalise: bool = True,
-    exact_scale: int | None = None,
+    exact_scale: int | str | None = None,
     wording: ReasonText = ENGLISH,
+    expected: DataFrame | None = None,
 ) -> DataFrame:
     """Compare two clusters kept in one summary frame, reading it once.
 
@@ -143,7 +227,7 @@ def compare_metric_slices(
     rows = summary.where(F.col("cluster").isin(old, new))
     if data_dt is not None:
         rows = rows.where(F.col("data_dt") == data_dt)
-    return _compare(rows, F.col("cluster") == old, normalise, exact_scale, wording)
+    return _compare(rows, F.col("cluster") == old, normalise, exact_scale, wording, expected)
 
 
 def _prefer_old(column: str) -> Column:
@@ -230,4 +314,5 @@ def compare_stats_wide(
 
 def preview(comparison: DataFrame, n: int = 10) -> DataFrame:
     """First rows of a comparison in key order, so two runs show the same rows (L1)."""
-    return comparison.orderBy(*[k for k in STATS_KEY if k in comparison.columns]).limit(n)
+    keys = dict.fromkeys((*STATS_KEY, *_METRIC_KEYS))
+    return comparison.orderBy(*[k for k in keys if k in comparison.columns]).limit(n)

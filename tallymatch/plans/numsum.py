@@ -12,14 +12,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import model as M
-from ..operators.compare import compare_metric_slices, compare_metrics, compare_partitions
+from ..manifest import Run, newest_entries, read_manifest, record_slices, unfinished_slices
+from ..operators.compare import (
+    compare_metric_slices,
+    compare_metrics,
+    compare_partitions,
+    expected_metrics,
+    not_judged,
+    with_notes,
+)
 from ..operators.metrics import metric_frame, metrics_by_partition
 from ..operators.reshape import as_metric_rows, empty_metrics, union_all, unpivot_metrics
 from ..session import shared_folder
-from ..sinks import clear_slice, export_metrics_tsv, write_metrics
+from ..sinks import clear_slice, export_metrics_tsv, only_value, write_metrics
 from ..sources.files import read_metrics_tsv
 from ..sources.metric_sql import metric_sql_frame
-from ..sources.tables import open_table, read_slices, side_tables
+from ..sources.tables import open_table, read_slices, refuse_same_tables, side_tables
 
 Instant = datetime | Column | None
 
@@ -167,13 +175,32 @@ def _stage_parts(
     return skipped
 
 
-def _store_staged(
-    spark: SparkSession, folder: str, data_dt: str, cluster: str, target: str, overwrite: bool
-) -> None:
-    """Append the staged metrics, or replace the slice by them in one step; no rows empty it."""
+def _store_run(
+    spark: SparkSession,
+    parts: Sequence[tuple[str, Callable[[], DataFrame]]],
+    run: Run,
+    on_error: str,
+    parts_per_job: int,
+    overwrite: bool,
+) -> dict[str, str]:
+    """Measure, then append to the slice or replace it in one step; no rows empty it.
+
+    A row of another date or cluster fails the job before anything is replaced.  The manifest
+    then shows a run that did not finish, so the slice that is still there is not judged.
+    """
+    folder = f"{shared_folder(spark)}/metrics"
+    skipped = _stage_parts(spark, parts, folder, on_error, parts_per_job)
     staged = spark.read.schema(M.METRIC_SCHEMA).parquet(folder)
-    if write_metrics(staged, target, overwrite=overwrite) == 0 and overwrite:
-        clear_slice(spark, target, M.METRIC_SCHEMA, {"cluster": cluster, "data_dt": data_dt})
+    held = staged.withColumns(
+        {
+            "data_dt": only_value(F.coalesce("data_dt", F.lit(run.data_dt)), run.data_dt, "date"),
+            "cluster": only_value(F.col("cluster"), run.cluster, "cluster"),
+        }
+    )
+    if write_metrics(held, run.target, overwrite=overwrite) == 0 and overwrite:
+        clear_slice(spark, run.target, M.METRIC_SCHEMA, {"cluster": run.cluster, "data_dt": run.data_dt})
+    run.finish(held, skipped)
+    return skipped
 
 
 def store_metrics(
@@ -213,10 +240,8 @@ def store_metrics(
         )
         for s in specs
     ]
-    folder = f"{shared_folder(spark)}/metrics"
-    skipped = _stage_parts(spark, parts, folder, on_error, tables_per_job)
-    _store_staged(spark, folder, data_dt, cluster, target, overwrite)
-    return skipped
+    run = Run.begin(spark, target, cluster, data_dt, specs)
+    return _store_run(spark, parts, run, on_error, tables_per_job, overwrite)
 
 
 def store_metrics_sql(
@@ -231,11 +256,9 @@ def store_metrics_sql(
     statements_per_job: int = 50,
 ) -> dict[str, str]:
     """The same for user-written statements (S8): a statement that fails costs only itself."""
-    folder = f"{shared_folder(spark)}/metrics"
     parts = _sql_parts(spark, statements, data_dt, cluster)
-    skipped = _stage_parts(spark, parts, folder, on_error, statements_per_job)
-    _store_staged(spark, folder, data_dt, cluster, target, overwrite)
-    return skipped
+    run = Run.begin(spark, target, cluster, data_dt)
+    return _store_run(spark, parts, run, on_error, statements_per_job, overwrite)
 
 
 def ingest_old(
@@ -245,14 +268,28 @@ def ingest_old(
     *,
     header: bool = False,
     overwrite: bool = False,
+    data_dt: str | None = None,
+    cluster: str = M.OLD,
+    any_text: bool = False,
 ) -> int:
     """Load exported metrics of the old cluster into the summary (E3).  Returns rows stored.
 
-    Raises if there are none: the slice they would replace is not known.
+    A row of another cluster, or of another date than ``data_dt`` if that is given, fails before
+    anything is replaced.  Raises if there are no rows: a file that came empty is no measurement.
     """
-    stored = write_metrics(read_metrics_tsv(spark, tsv, header=header), target, overwrite=overwrite)
+    rows = read_metrics_tsv(spark, tsv, header=header, any_text=any_text)
+    held = rows.withColumn("cluster", only_value(F.col("cluster"), cluster, "cluster"))
+    run = None
+    if data_dt is not None:
+        held = held.withColumn("data_dt", only_value(F.col("data_dt"), data_dt, "date"))
+        run = Run.begin(spark, target, cluster, data_dt)
+    stored = write_metrics(held, target, overwrite=overwrite)
     if stored == 0:
         raise RuntimeError(f"no metrics in {tsv}")
+    if run is None:
+        record_slices(held, target)
+    else:
+        run.finish(held)
     return stored
 
 
@@ -270,6 +307,7 @@ def measure_to_tsv(
     tables: Mapping[str, DataFrame] | None = None,
     computed_at: Instant = None,
     on_error: str = "raise",
+    any_text: bool = False,
 ) -> dict[str, str]:
     """Measure one cluster into a TSV folder for another cluster to ingest."""
     staged = f"{shared_folder(spark)}/summary"
@@ -283,7 +321,7 @@ def measure_to_tsv(
         computed_at=computed_at,
         on_error=on_error,
     )
-    export_metrics_tsv(read_slices(spark, staged, M.METRIC_SCHEMA), path)
+    export_metrics_tsv(read_slices(spark, staged, M.METRIC_SCHEMA), path, any_text=any_text)
     return skipped
 
 
@@ -328,9 +366,72 @@ def run_new(
     return skipped
 
 
-def compare_stored(spark: SparkSession, target: str, data_dt: str | None = None, **how) -> DataFrame:
-    """Compare the stored slices of both clusters."""
-    return compare_metric_slices(read_slices(spark, target, M.METRIC_SCHEMA), data_dt, **how)
+def compare_stored(
+    spark: SparkSession, target: str, data_dt: str | None = None, *, proven: bool = False, **how
+) -> DataFrame:
+    """Compare the stored slices of both clusters.
+
+    A date whose newest run of either cluster began and did not finish is NOT_MEASURED: what is
+    stored there is of an earlier run.  With ``proven`` only rows that the newest runs
+    wrote take part, both clusters must have a finished run, and every metric that they were to measure
+    is a row; slices written without a manifest then count as not measured.
+    """
+    clusters = (how.get("old", M.OLD), how.get("new", M.NEW))
+    summary = read_slices(spark, target, M.METRIC_SCHEMA)
+    if proven:
+        return _compare_proven(spark, summary, target, data_dt, clusters, how)
+    stale = unfinished_slices(spark, target, clusters, data_dt)
+    return not_judged(compare_metric_slices(summary, data_dt, **how), stale)
+
+
+def _compare_proven(
+    spark: SparkSession, summary: DataFrame, target: str, data_dt: str | None, clusters: tuple[str, str], how: dict
+) -> DataFrame:
+    manifest = read_manifest(spark, target)
+    if manifest is None:
+        manifest = spark.createDataFrame([], M.MANIFEST_SCHEMA)
+    entries = newest_entries(manifest.where(F.col("cluster").isin(*clusters)))
+    if data_dt is not None:
+        entries = entries.where(F.col("data_dt") == data_dt)
+        summary = summary.where(F.col("data_dt") == data_dt)
+    written = entries.where(F.col("state") == M.MEASURED).select(
+        "cluster", "data_dt", "table_name", "first_at", "last_at"
+    )
+    keys = ["cluster", "data_dt", "table_name"]
+    within = F.col("computed_at").between(F.col("first_at"), F.col("last_at"))
+    own = summary.join(written, keys).where(F.coalesce(within, F.col("first_at").isNull()))
+    planned = entries.where(F.col("state") == M.PLANNED)
+    grid = planned.select("table_name", "partition_col", "data_dt", F.explode("expected").alias("metric_name"))
+    # Keys of rows that are no run's own are rows too, so that nothing stored goes unmentioned.
+    left = summary.select("table_name", "partition_col", "data_dt", "metric_name")
+    compared = compare_metric_slices(own, None, **how, expected=grid.unionByName(left).distinct())
+
+    def of(cluster: str, state: str, value: Column, name: str) -> Column:
+        return F.max(F.when((F.col("cluster") == cluster) & (F.col("state") == state), value)).alias(name)
+
+    ends = entries.groupBy("data_dt").agg(
+        *[of(c, M.DONE, F.lit(True), f"_{side}_done") for side, c in zip((M.OLD, M.NEW), clusters, strict=True)]
+    )
+    lost = (
+        entries.where(F.col("state") == M.SKIPPED)
+        .groupBy("data_dt", "table_name")
+        .agg(*[of(c, M.SKIPPED, F.col("reason"), f"_{side}_lost") for side, c in zip((M.OLD, M.NEW), clusters, strict=True)])
+    )
+    joined = compared.join(ends, "data_dt", "left").join(lost, ["data_dt", "table_name"], "left")
+    why = []
+    for side, cluster in zip((M.OLD, M.NEW), clusters, strict=True):
+        why.append(F.when(F.col(f"_{side}_done").isNull(), f"run not finished: {cluster}"))
+        gone = F.col(f"{side}_value").isNull() & F.col(f"_{side}_lost").isNotNull()
+        why.append(F.when(gone, F.concat(F.lit(f"{cluster}: "), F.col(f"_{side}_lost"))))
+    open_ = F.coalesce(*why).isNotNull()
+    return joined.withColumns(
+        {
+            "status": F.when(open_, M.NOT_MEASURED).otherwise(F.col("status")),
+            "reason": F.when(open_, F.concat_ws("; ", *why)).otherwise(F.col("reason")),
+            "diff": F.when(~open_, F.col("diff")),
+            "diff_num": F.when(~open_, F.col("diff_num")),
+        }
+    ).select(*compared.columns)
 
 
 def run_all(
@@ -348,9 +449,10 @@ def run_all(
 ) -> DataFrame:
     """Ingest the old side, measure the new side, compare what is stored (E5).
 
-    Overwriting replaces the two slices written here and nothing else.
+    Overwriting replaces the two slices written here and nothing else.  Text of another cluster or date
+    raises, and only rows that these two runs wrote are judged.
     """
-    ingest_old(spark, old_tsv, target, header=header, overwrite=overwrite)
+    ingest_old(spark, old_tsv, target, header=header, overwrite=overwrite, data_dt=data_dt)
     run_new(
         spark,
         measures,
@@ -361,7 +463,7 @@ def run_all(
         on_error=on_error,
         overwrite=overwrite,
     )
-    return compare_stored(spark, target, data_dt)
+    return compare_stored(spark, target, data_dt, proven=True)
 
 
 def _two_sides(
@@ -372,14 +474,22 @@ def _two_sides(
     old_namespace: str | None,
     new_namespace: str | None,
 ) -> list[dict[str, DataFrame]]:
-    """The tables each side has.  Raises where both sides would be the same catalog tables."""
+    """The tables each side has.  Raises where both sides would be the same tables.
+
+    Two mappings are the caller's own choice.  Where a side comes from the catalog, the identities
+    of its tables are resolved, and the other side must have other tables at other places.
+    """
     if old_tables is None and new_tables is None and old_namespace == new_namespace:
         raise ValueError("both sides are the same tables: give mappings or two namespaces")
     names = [s.name for s in specs]
-    return [
+    sides = [
         side_tables(spark, names, old_tables, old_namespace),
         side_tables(spark, names, new_tables, new_namespace),
     ]
+    if old_tables is None or new_tables is None:
+        named = [None if t is not None else n or "" for t, n in ((old_tables, old_namespace), (new_tables, new_namespace))]
+        refuse_same_tables(spark, [n for n in names if n in sides[0] and n in sides[1]], sides, named)
+    return sides
 
 
 def reconcile_metrics(
@@ -398,11 +508,14 @@ def reconcile_metrics(
     """Measure both sides for one date and compare, as a single lazy plan (E5).
 
     A side is a mapping or the tables of a catalog namespace.  A table that one
-    side lacks has no metrics there, so all of the other's are missing.
+    side lacks has no metrics there, so all of the other's are missing.  Every metric of
+    the specs is a row: what no side measured is NOT_MEASURED.  With ``on_error="skip"`` a table
+    that cannot be read is NOT_MEASURED too, with the reason, on whichever side it failed.
     """
     found = _two_sides(spark, specs, old_tables, new_tables, old_namespace, new_namespace)
-    sides = [
-        collect_metrics(
+    runs, notes, failed = [], {}, []
+    for cluster, tables in zip((M.OLD, M.NEW), found, strict=True):
+        run = collect_metrics(
             spark,
             [s for s in specs if s.name in tables],
             data_dt,
@@ -410,10 +523,13 @@ def reconcile_metrics(
             tables=tables,
             computed_at=computed_at,
             on_error=on_error,
-        ).metrics
-        for cluster, tables in zip((M.OLD, M.NEW), found, strict=True)
-    ]
-    return compare_metrics(*sides, **how)
+        )
+        runs.append(run.metrics)
+        notes.update({(cluster, s.name): "no such table" for s in specs if s.name not in tables})
+        notes.update({(cluster, name): error.partition("\n")[0] for name, error in run.skipped.items()})
+        failed += [(cluster, name) for name in run.skipped]
+    compared = compare_metrics(*runs, expected=expected_metrics(spark, specs, data_dt), **how)
+    return with_notes(compared, notes, failed)
 
 
 def reconcile_partitions(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import model as M
+from .functions import escaped
 from .operators.reshape import as_metric_rows, normalise_metrics
 from .sources.tables import is_path
 
@@ -105,12 +106,15 @@ def write_metrics(long: DataFrame, target: str, *, overwrite: bool = False) -> i
     )
 
 
+def only_value(column: Column, value: str, what: str) -> Column:
+    """The column itself, failing the job on a row of another value."""
+    message = F.concat(F.lit(f"row of {what} {value} expected, found "), F.coalesce(column, F.lit("none")))
+    return F.when(column == value, column).otherwise(F.raise_error(message))
+
+
 def only_date(column: Column, data_dt: str) -> Column:
     """The column itself, failing the job on a row of another date."""
-    message = F.concat(
-        F.lit(f"row of date {data_dt} expected, found "), F.coalesce(column, F.lit("none"))
-    )
-    return F.when(column == data_dt, column).otherwise(F.raise_error(message))
+    return only_value(column, data_dt, "date")
 
 
 def clear_slice(
@@ -157,9 +161,18 @@ def replace_comparison(
     return written
 
 
-def export_metrics_tsv(long: DataFrame, path: str) -> int:
-    """Long metrics as TSV without header; NULL is written as the word (K3)."""
+def export_metrics_tsv(long: DataFrame, path: str, *, any_text: bool = False) -> int:
+    """Long metrics as TSV without header; NULL is written as the word (K3).
+
+    With ``any_text`` line breaks, tabs, backslashes and the word NULL inside values are escaped
+    by a backslash, so that every line is one row and each value comes back as it was.
+    """
     rows, seen = counted(as_metric_rows(long))
+    if any_text:
+        times = {"computed_at": F.date_format("computed_at", M.COMPUTED_AT_FORMAT)}
+        fields = [F.coalesce(escaped(times.get(c, F.col(c))), F.lit("NULL")) for c in M.METRIC_SCHEMA.fieldNames()]
+        rows.select(F.concat_ws("\t", *fields).alias("value")).write.mode("overwrite").text(path)
+        return rows_seen(seen)
     writer = rows.write.mode("overwrite").option("sep", "\t").option("header", False)
     writer = writer.option("nullValue", "NULL").option("timestampFormat", M.COMPUTED_AT_FORMAT)
     writer.option("escape", '"').csv(path)
