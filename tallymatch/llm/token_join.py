@@ -52,7 +52,7 @@ STARS = 3
 
 KINDS = byte_kinds(between=b"\x20\x09\x0a\x0b\x0c\x0d")
 
-SIGNED = "doc_id long, digest binary, n_shingles long, keys array<long>, room array<int>, parity array<long>"
+SIGNED = "doc_id long, digest binary, n_shingles long, keys array<long>, room array<int>, parity array<long>, brief array<long>"
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,11 @@ class Shingler:
         return xxhash.xxh3_128_digest(words.bytes[words.starts[first] : words.ends[first + count - 1]].tobytes())
 
 
-def parity_of(found: np.ndarray) -> np.ndarray:
+#: Bits of the bitmap that goes with every key; the whole one is looked up for pairs that pass.
+BRIEF_BITS = 256
+
+
+def parity_of(found: np.ndarray, most: int | None = None) -> np.ndarray:
     """Of every bit, whether an odd number of shingles falls on it.
 
     Bits that differ between two sets are no more than the shingles that only one of them
@@ -131,6 +135,7 @@ def parity_of(found: np.ndarray) -> np.ndarray:
     bitmap combined by XOR are the bitmap of half the size.
     """
     size = max(64, 1 << (len(found) - 1).bit_length())
+    size = size if most is None else min(size, most)
     bits = np.bincount((found & np.uint64(size - 1)).view(np.int64), minlength=size) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
@@ -143,7 +148,7 @@ def frequency_classes(docs: DataFrame, settings: Settings) -> np.ndarray:
     """
     ship(docs.sparkSession)
     low, high = SKETCH_BITS
-    bits = min(max(docs.count().bit_length() + 2, low), high)
+    bits = min(max(docs.count().bit_length(), low), high)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, dtype=np.int64)
@@ -216,7 +221,7 @@ def sign(docs: DataFrame, classes: np.ndarray, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in slices(batches):
             shingler = Shingler(texts, settings)
-            sizes, keys, rooms, parities = [], [], [], []
+            sizes, keys, rooms, parities, briefs = [], [], [], [], []
             for k in range(len(texts)):
                 found = shingler.set_of(k)
                 key, room = keys_of(found, table_of.value, settings) if len(found) else (found, found.astype(np.int32))
@@ -224,6 +229,7 @@ def sign(docs: DataFrame, classes: np.ndarray, settings: Settings) -> DataFrame:
                 keys.append(key.view(np.int64))
                 rooms.append(room)
                 parities.append(parity_of(found))
+                briefs.append(parity_of(found, BRIEF_BITS))
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.array(ids, type=pa.int64()),
@@ -232,6 +238,7 @@ def sign(docs: DataFrame, classes: np.ndarray, settings: Settings) -> DataFrame:
                     "keys": pa.array(keys, type=pa.list_(pa.int64())),
                     "room": pa.array(rooms, type=pa.list_(pa.int32())),
                     "parity": pa.array(parities, type=pa.list_(pa.int64())),
+                    "brief": pa.array(briefs, type=pa.list_(pa.int64())),
                 }
             )
 
@@ -325,14 +332,19 @@ def star_pairs(buckets: DataFrame, nodes: DataFrame, settings: Settings, folder:
     counted = met.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     best = F.max_by("a", F.struct("n", "a")).alias("a")
     pairs = counted.groupBy("b").agg(best)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stored(allowed(pairs, nodes, settings), f"{folder}/star_pairs")
+
+
+def allowed(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs whose whole parity bitmaps allow a link."""
     ends = nodes.select("node", "size", "parity")
-    pairs = (
-        pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        .join(ends.toDF("a", "na", "pa").hint("merge"), "a")
+    return (
+        pairs.join(ends.toDF("a", "na", "pa").hint("merge"), "a")
         .join(ends.toDF("b", "nb", "pb").hint("merge"), "b")
         .where(parity_allows(settings, "na", "nb", "pa", "pb"))
+        .select("a", "b")
     )
-    return stored(pairs.select("a", "b"), f"{folder}/star_pairs")
 
 
 def all_pairs(buckets: DataFrame, nodes: DataFrame, component: DataFrame, settings: Settings, folder: str) -> DataFrame:
@@ -340,8 +352,8 @@ def all_pairs(buckets: DataFrame, nodes: DataFrame, component: DataFrame, settin
     placed = buckets.join(component.toDF("node", "component").hint("merge"), "node", "left")
     placed = stored(placed.withColumn("c", F.coalesce("component", "node")).drop("component"), f"{folder}/placed")
     split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-    still = placed.join(split.select("key").hint("merge"), "key").join(nodes.select("node", "parity").hint("merge"), "node")
-    still = stored(still.select("key", "node", "size", "room", "c", "parity"), f"{folder}/still")
+    still = placed.join(split.select("key").hint("merge"), "key").join(nodes.select("node", "brief").hint("merge"), "node")
+    still = stored(still.select("key", "node", "size", "room", "c", "brief"), f"{folder}/still")
     larger = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b")))
     fits = (
         (F.col("ca") != F.col("cb"))
@@ -356,7 +368,8 @@ def all_pairs(buckets: DataFrame, nodes: DataFrame, component: DataFrame, settin
         .hint("merge")
         .join(still.toDF("other", "b", "nb", "rb", "cb", "pb"), (F.col("key") == F.col("other")) & fits)
     )
-    return stored(pairs.select("a", "b").distinct(), f"{folder}/pairs")
+    pairs = stored(pairs.select("a", "b").distinct(), f"{folder}/met")
+    return stored(allowed(pairs, nodes, settings), f"{folder}/pairs")
 
 
 def link(docs: DataFrame, settings: Settings = QUERY) -> DataFrame:
@@ -372,6 +385,7 @@ def link(docs: DataFrame, settings: Settings = QUERY) -> DataFrame:
             F.first("keys").alias("keys"),
             F.first("room").alias("room"),
             F.first("parity").alias("parity"),
+            F.first("brief").alias("brief"),
         )
         .withColumn("node", F.monotonically_increasing_id()),
         f"{folder}/nodes",

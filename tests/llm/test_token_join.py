@@ -125,7 +125,7 @@ def test_dense_group_below_the_threshold_makes_no_pairs(spark, folder):
     }
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     signed = token_join.sign(df, token_join.frequency_classes(df, QUERY), QUERY)
-    nodes = signed.selectExpr("doc_id as node", "cast(n_shingles as int) size", "keys", "room", "parity")
+    nodes = signed.selectExpr("doc_id as node", "cast(n_shingles as int) size", "keys", "room", "parity", "brief")
     nodes.write.parquet(f"{folder}/nodes")
     nodes = spark.read.parquet(f"{folder}/nodes")
     nothing = spark.createDataFrame([], "node long, component long")
