@@ -145,7 +145,7 @@ def test_parity_is_a_bound(spark):
         least = min(map(len, bits))
         while max(map(len, bits)) > least:  # halves combined
             bits = [x if len(x) == least else x[: len(x) // 2] ^ x[len(x) // 2 :] for x in bits]
-        differing = np.bitwise_count(bits[0] ^ bits[1]).sum()
+        differing = np.bitwise_count((bits[0] ^ bits[1]).view(np.uint64)).sum()
         assert differing <= len(np.setxor1d(a, b))
 
 
