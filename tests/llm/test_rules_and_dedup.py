@@ -99,6 +99,55 @@ def test_dedup_remembers_earlier_batches(spark):
     assert index.read(spark).count() == 3
 
 
+def test_dedup_of_a_batch_given_again(spark, monkeypatch):
+    """Other partitions, a failure after the append, and the same ids in a batch of another name."""
+    texts = [(k % 40, f"text {k % 25}" + " " * (k % 3)) for k in range(200)] + [(None, "text 3"), (None, "x")]
+    want = {f"text {k}" + " " for k in range(25)} | {f"text {k}" for k in range(25)} | {"x"}
+    groups = {" ".join(t.split(" ")).rstrip(" ") + (" " if t.endswith(" ") else "") for _, t in texts}
+    assert groups <= want
+
+    def batch(parts):
+        return spark.createDataFrame(texts, "doc_id long, text string").repartition(parts)
+
+    index = exact_dedup.DigestIndex.create(spark, buckets=4)
+    append, calls = exact_dedup.DigestIndex.append, []
+
+    def append_and_die(self, entries):
+        append(self, entries)
+        calls.append(1)
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(exact_dedup.DigestIndex, "append", append_and_die)
+        with pytest.raises(RuntimeError):
+            exact_dedup.deduplicate(batch(2), index, batch="a")
+    assert calls == [1]
+    answers = []
+    for parts in (7, 2, 1):
+        rows = exact_dedup.deduplicate(batch(parts), index, batch="a").collect()
+        answers.append(sorted((r.text_sha256, r.doc_id is None, r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in rows))
+        assert sum(r.kept for r in rows) == len(groups) == index.read(spark).count()
+        assert {r.text_sha256 for r in rows if r.kept} == {r.text_sha256 for r in rows}
+    assert answers[0] == answers[1] == answers[2]
+    other = exact_dedup.deduplicate(batch(3), index, batch="b").collect()
+    assert not any(r.kept for r in other) and len(other) == len(texts)
+    index.drop(spark)
+
+
+def test_dedup_leaves_no_table(spark, nasty):
+    def tables():
+        return {t.name for t in spark.catalog.listTables() if t.name.startswith("digest_index_")}
+
+    before = tables()
+    assert exact_dedup.stage(spark, nasty, SF).count() == 10
+    assert tables() == before
+
+
+def test_buckets_follow_the_rows():
+    assert exact_dedup.buckets_for(0, 8) == 8
+    assert exact_dedup.buckets_for(10 * exact_dedup.BUCKET_ROWS + 1, 8) == 11
+
+
 def brute_links(texts, width, percent):
     """(set size, smallest reachable id) of every document, over all pairs that share a shingle."""
     sets = {}
