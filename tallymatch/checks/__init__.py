@@ -1,8 +1,8 @@
 """Registered queries: each one a Spark callable and, where SQL can say it, the SQL."""
 
-from . import catalog, compare, files, metrics, proof, safety, stats
+from . import catalog, compare, coverage, files, metrics, proof, safety, stats
 
-MODULES = (metrics, compare, catalog, stats, files, safety, proof)
+MODULES = (metrics, compare, catalog, stats, files, safety, proof, coverage)
 
 
 def all_queries():

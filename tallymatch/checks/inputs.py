@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tallymatch import TableSpec
 from tallymatch.operators import Metastore, metric_columns, unpivot_metrics
+from tallymatch.session import shared_folder
+from tallymatch.sources import file_metastore
 
 AT = datetime(2026, 1, 2, 3, 4, 5)
 AT_TEXT = "2026-01-02 03:04:05"
@@ -116,7 +118,21 @@ def status_sql(old: str, new: str, number: str = "DOUBLE") -> str:
 # parameters, some of which are left out.
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
 def metastore(spark: SparkSession, sf: str) -> Metastore:
+    """The six relations, derived and written once a session, so that queries read tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _written:
+        place = shared_folder(spark)
+        for name, relation in vars(_derived_metastore(spark, sf)).items():
+            relation.write.parquet(f"{place}/{name}")
+        _written[key] = place
+    return file_metastore(spark, _written[key])
+
+
+def _derived_metastore(spark: SparkSession, sf: str) -> Metastore:
     part, line = table(spark, sf, "part"), table(spark, sf, "lineitem")
     brand = F.substring("p_brand", 7, 10).cast("bigint")
     one_key, two_keys = F.col("p_type") == "ECONOMY", F.col("p_type") == "PROMO"

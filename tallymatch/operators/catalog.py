@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dashed_date_text, to_long
 from ..model import STAT_MEASURES, STAT_PARAM_KEYS, STATS_SCHEMA
+from ..session import shared_folder
 
 
 @dataclass(frozen=True)
@@ -76,7 +77,7 @@ def table_level_stats(store: Metastore, data_dt: str) -> DataFrame:
 
 
 def partition_stats(
-    store: Metastore, data_dt: str, *, either_spelling: bool = False
+    store: Metastore, data_dt: str, *, either_spelling: bool = False, stage: bool = False
 ) -> DataFrame:
     """Partitions that carry the date at any level, and their statistics.
 
@@ -84,6 +85,9 @@ def partition_stats(
     also finds ``=yyyyMMdd``.  The parameter relation, the largest of the six,
     is cut down to the partitions found (a small side, as a rule) and aggregated
     before it is joined, so the shuffles carry one date and not all history.
+
+    The partitions found are needed twice.  With ``stage`` they are written to the shared
+    folder at once, so PARTITIONS is read a single time; without it the frame stays lazy.
     """
     name = F.col("PART_NAME")
     hit = name.contains("=" + dashed_date_text(data_dt))
@@ -95,6 +99,10 @@ def partition_stats(
         name.alias("partition_name"),
         F.col("LAST_ACCESS_TIME").alias("last_access"),
     )
+    if stage:
+        place = f"{shared_folder(found.sparkSession)}/partitions"
+        found.write.parquet(place)
+        found = found.sparkSession.read.schema(found.schema).parquet(place)
     wanted = store.PARTITION_PARAMS.join(found.select("PART_ID"), "PART_ID", "left_semi")
     joined = (
         found.join(params_wide(wanted, "PART_ID"), "PART_ID", "left")
@@ -104,8 +112,10 @@ def partition_stats(
     return _stats_rows(joined, data_dt)
 
 
-def catalog_stats(store: Metastore, data_dt: str, *, either_spelling: bool = False) -> DataFrame:
+def catalog_stats(
+    store: Metastore, data_dt: str, *, either_spelling: bool = False, stage: bool = False
+) -> DataFrame:
     """Statistics of unpartitioned tables and of the date's partitions (U4)."""
     return table_level_stats(store, data_dt).unionByName(
-        partition_stats(store, data_dt, either_spelling=either_spelling)
+        partition_stats(store, data_dt, either_spelling=either_spelling, stage=stage)
     )

@@ -284,11 +284,13 @@ def compare_stats_wide(
     order: Sequence[str] = (),
     include_equal: bool = False,
     with_diff: bool = True,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """All statistics of a partition side by side.
 
     Differences are blank when a side is missing.  Agreeing rows are left out
     unless ``include_equal``; ``with_diff=False`` gives the short form.
+    ``unique_keys`` says that neither side repeats a partition; then nothing is sorted.
     """
 
     def side(df: DataFrame) -> DataFrame:
@@ -298,7 +300,7 @@ def compare_stats_wide(
         ]
         return df.select(*keyed, *order, *[to_long(F.col(m)).alias(m) for m in measures])
 
-    pairs = pair_sides(side(old), side(new), STATS_KEY, measures, order)
+    pairs = pair_sides(side(old), side(new), STATS_KEY, measures, order, unique_keys=unique_keys)
     o, n = F.col(M.OLD), F.col(M.NEW)
     status = stats_status(o.isNotNull(), n.isNotNull(), [(o[m], n[m]) for m in measures])
     diffs = [F.try_subtract(n[m], o[m]).alias(f"diff_{m}") for m in measures]

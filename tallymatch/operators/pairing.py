@@ -51,6 +51,28 @@ def pair_tagged(
     )
 
 
+def pair_tagged_unique(
+    rows: DataFrame, is_old: Column, keys: Sequence[str], payload: Sequence[str]
+) -> DataFrame:
+    """``pair_tagged`` for keys that a side has at most once and a payload of numbers.
+
+    One maximum per side and number beside a presence flag: buffers of fixed width, so the
+    aggregate hashes where the struct form sorts.  A key that a side repeats would mix
+    its rows, so the caller must know that there is none.
+    """
+    sides = {OLD: is_old, NEW: ~is_old}
+    values = {(s, p): f"_{s}_{k}" for s in sides for k, p in enumerate(payload)}
+    found = rows.groupBy(*keys).agg(
+        *[F.max(F.when(mine, True)).alias(f"_{s}") for s, mine in sides.items()],
+        *[F.max(F.when(sides[s], name_col(p))).alias(flat) for (s, p), flat in values.items()],
+    )
+    structs = [
+        F.when(F.col(f"_{s}"), F.struct(*[F.col(values[s, p]).alias(p) for p in payload])).alias(s)
+        for s in sides
+    ]
+    return found.select(*[name_col(k) for k in keys], *structs)
+
+
 def tag_sides(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both sides in one frame, told apart by ``IS_OLD``."""
     names = [quoted(c) for c in columns]
@@ -65,9 +87,15 @@ def pair_sides(
     keys: Sequence[str],
     payload: Sequence[str],
     order: Sequence[str] = (),
+    *,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Full outer match of two frames."""
     columns = list(dict.fromkeys([*keys, *order, *payload]))
+    if unique_keys:
+        if order:
+            raise ValueError("keys that occur once need no order")
+        return pair_tagged_unique(tag_sides(old, new, columns), F.col(IS_OLD), keys, payload)
     return pair_tagged(tag_sides(old, new, columns), F.col(IS_OLD), keys, payload, order)
 
 

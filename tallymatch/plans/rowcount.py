@@ -19,7 +19,7 @@ def store_catalog_stats(
     store: Metastore, data_dt: str, path: str, *, either_spelling: bool = False
 ) -> int:
     """Collect the statistics of one cluster into a CSV folder (E7).  Returns rows written."""
-    return export_stats_csv(catalog_stats(store, data_dt, either_spelling=either_spelling), path)
+    return export_stats_csv(catalog_stats(store, data_dt, either_spelling=either_spelling, stage=True), path)
 
 
 def compare_stats_files(
@@ -51,11 +51,17 @@ def compare_stats_files(
 
 
 def reconcile_catalogs(
-    old: Metastore, new: Metastore, data_dt: str, *, wide: bool = False, **how
+    old: Metastore, new: Metastore, data_dt: str, *, wide: bool = False, stage: bool = True, **how
 ) -> DataFrame:
-    """Collect both catalogs and compare them as a single lazy plan."""
-    sides = (catalog_stats(old, data_dt), catalog_stats(new, data_dt))
-    return compare_stats_wide(*sides, **how) if wide else compare_row_counts(*sides, **how)
+    """Collect both catalogs and compare them.
+
+    The date's partitions of either side are staged first (see ``partition_stats``); with
+    ``stage=False`` everything is one lazy plan, which reads PARTITIONS twice a side.
+    """
+    sides = [catalog_stats(store, data_dt, stage=stage) for store in (old, new)]
+    if wide:
+        return compare_stats_wide(*sides, **{"unique_keys": not how.get("order"), **how})
+    return compare_row_counts(*sides, **how)
 
 
 def publish_comparison(

@@ -102,6 +102,24 @@ def test_plan_has_one_join_per_relation_and_pushes_filters(spark, store, folder)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_staged_partitions_are_read_once(spark, store, folder):
+    for name in RELATIONS:
+        getattr(store, name).write.parquet(f"{folder}/{name}")
+    source = file_metastore(spark, folder)
+    staged = partition_stats(source, "20250324", stage=True)
+    plan = plan_of(staged)
+    assert rows(staged) == rows(partition_stats(source, "20250324"))
+    lazy = plan_of(partition_stats(source, "20250324"))
+    assert "PART_NAME" in lazy and "PART_NAME" not in plan  # PARTITIONS itself is not read any more
+    assert plan.count("ReadSchema: struct<PART_ID:bigint,PARAM_KEY") == 1
+
+
+def test_wide_catalogs_need_no_sort(store):
+    result = reconcile_catalogs(store, store, "20250324", wide=True, include_equal=True)
+    sorted_form = reconcile_catalogs(store, store, "20250324", wide=True, include_equal=True, unique_keys=False)
+    assert rows(result) == rows(sorted_form) and result.count() == 4
+
+
 def test_jdbc_split():
     assert split_options("TBL_ID", None, None, 8) == {}
     assert split_options("TBL_ID", 5, 6, 8)["numPartitions"] == "2"

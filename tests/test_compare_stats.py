@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
@@ -114,3 +115,16 @@ def test_preview_is_ordered(spark):
     shown = preview(compare_row_counts(side, side))
     assert [r.table_name for r in shown.collect()] == [f"t{i:02}" for i in range(10)]
     assert "TakeOrderedAndProject" in plan_of(shown)
+
+
+def test_unique_keys_plan_without_sort(spark):
+    """Missing sides, NULL values, NULL and blank partitions come out as by the sorted form."""
+    columns = "database_name string, table_name string, partition_name string, num_rows long, total_size long"
+    old = spark.createDataFrame([("d", "a", None, 1, None), ("d", "b", "p=1", 2, 5), ("d", "c", "", None, None)], columns)
+    new = spark.createDataFrame([("d", "a", "", 1, None), ("d", "b", "p=1", 3, None), ("d", "e", "x", None, 1)], columns)
+    how = dict(measures=("num_rows", "total_size"), include_equal=True)
+    hashed = compare_stats_wide(old, new, unique_keys=True, **how)
+    assert rows(hashed) == rows(compare_stats_wide(old, new, **how)) and hashed.count() == 4
+    assert "Sort" not in plan_of(hashed)
+    with pytest.raises(ValueError, match="order"):
+        compare_stats_wide(old, new, order=("num_rows",), unique_keys=True, **how)
