@@ -2,28 +2,33 @@
 
 1. One pass over the texts gives each document a digest of its words, the number of its
    distinct shingles, band keys over the minima, and the low two bits of every minimum,
-   packed as two bit planes.
+   packed as two bit planes behind ``PARITY_BITS`` parities of the whole set.
 2. Documents with equal word sequences form a class with one representative; from here on
    only representatives are compared, so copies cost nothing.
 3. Representatives that agree in a band meet in a bucket.  A bucket pairs its members with its
    smallest one (a star), and of its stars' centres a representative takes the one it shares
    the most bands with.  Bit counts of the packed signatures estimate the similarity,
-   corrected for chance agreement of low bits; pairs far below the threshold go, and the
-   rest is settled on full shingle sets.
+   corrected for chance agreement of low bits; pairs far below the threshold go, so do those
+   whose parities differ more often than a link allows, and the rest is settled on full
+   shingle sets.
 4. What this leaves out matters only in buckets whose members are not in one component yet.
    There, members of different components are compared by their packed bits inside the join,
-   plausible pairs are settled on full sets, and this is repeated until nothing new is found.
+   and plausible pairs are settled on full sets.  Links found there only merge components, so
+   one pass sees every pair.
 5. Components of the links come from alternating star contraction over files in the shared
    folder; nothing of it goes through the driver but counts.
 
 A link is missed if no band agrees or if the estimate is ``SIGMAS`` standard deviations too
-low: with the settings below under 1 in a million pairs at the threshold.  Shingles
-are compared by 64-bit hashes.
+low: with the settings below under 1 in a million pairs at the threshold.  Parities lose
+nothing: two bitmaps differ in no more bits than the shingles that only one set has.  The first
+band in which a pair agrees is told by 31 bits of its keys, which fails for 2 in 10^8 pairs.
+Shingles are compared by 64-bit hashes.
 
 Defined cases: a null or empty text has no shingles, is linked with nothing and stays; a
 text of fewer words than a shingle is one shingle; repeated rows get equal results; a null
-``doc_id`` is linked with nothing, its component is null and it stays; an empty table gives
-an empty one; only ``doc_id`` and ``text`` are read.
+``doc_id`` is linked with nothing, its component is null and it stays; rows of one ``doc_id`` with
+different texts are one node: all of them give candidates, checked on the set of the id that sorts
+first; an empty table gives an empty one; only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -41,6 +46,9 @@ from .common import WORD, fresh_folder, ship, slices, stored, table
 
 SIGMAS = 6
 LOW_BITS = 2
+PARITY_BITS = 256
+#: The bits of a band key that tell in which bands a pair agrees.
+BRIEF = (1 << 31) - 1
 SIGNED = "doc_id long, digest string, n_shingles long, bands array<long>, planes array<long>"
 SETS = "doc_id long, shingles array<long>"
 
@@ -101,6 +109,12 @@ def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return np.unique(out)
 
 
+def parities(found: np.ndarray) -> list[int]:
+    """Of every bit, whether an odd number of shingles falls on it."""
+    odd = np.bincount((found % np.uint64(PARITY_BITS)).view(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 class Signer:
     MEMO = 200_000
     BLOCK = 1024
@@ -141,7 +155,7 @@ class Signer:
             for k in range(LOW_BITS)
         ]
         digest = xxhash.xxh3_128_hexdigest("\n".join(words).encode())
-        return digest, len(found), keys.view(np.int64).tolist(), sum(planes, [])
+        return digest, len(found), keys.view(np.int64).tolist(), sum(planes, parities(found))
 
 
 def sign(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -179,12 +193,12 @@ def sets(docs: DataFrame, settings: Settings) -> DataFrame:
 
 def estimate(a: Column, b: Column, settings: Settings) -> Column:
     """Similarity from packed low bits: the share of agreeing ones, less what agrees by chance."""
-    per_plane = -(-settings.minima // 64)
+    per_plane, first = -(-settings.minima // 64), PARITY_BITS // 64
     differing = F.lit(0)
     for word in range(per_plane):
         either = F.lit(0).cast("long")
         for plane in range(LOW_BITS):
-            at = plane * per_plane + word
+            at = first + plane * per_plane + word
             either = either.bitwiseOR(a[at].bitwiseXOR(b[at]))
         differing = differing + F.bit_count(either)
     chance = 1 / (1 << LOW_BITS)
@@ -193,8 +207,13 @@ def estimate(a: Column, b: Column, settings: Settings) -> Column:
 
 def plausible(settings: Settings) -> Column:
     """Whether set sizes (na, nb) and packed bits (pa, pb) leave a link possible."""
-    return (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * settings.percent) & (
-        estimate(F.col("pa"), F.col("pb"), settings) >= settings.least_estimate
+    pa, pb = F.col("pa"), F.col("pb")
+    odd = sum((F.bit_count(pa[k].bitwiseXOR(pb[k])) for k in range(PARITY_BITS // 64)), F.lit(0))
+    # Shingles that only one set has are at most (100 - percent) / (100 + percent) of both sizes together.
+    return (
+        (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * settings.percent)
+        & (odd * (100 + settings.percent) <= (F.col("na") + F.col("nb")) * (100 - settings.percent))
+        & (estimate(pa, pb, settings) >= settings.least_estimate)
     )
 
 
@@ -232,24 +251,29 @@ def contract(edges: DataFrame, folder: str) -> DataFrame:
         before = now
 
 
-def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, settings: Settings, folder: str) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full sets are similar enough."""
+def likely(pairs: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
+    """The (a, b) of ``pairs`` whose sizes and packed bits leave a link possible."""
     side = reps.select("rep", "n_shingles", "planes")
-    near = stored(
+    return (
         pairs.join(side.toDF("a", "na", "pa"), "a")
         .join(side.toDF("b", "nb", "pb"), "b")
         .where(plausible(settings))
-        .select("a", "b"),
-        f"{folder}/near",
+        .select("a", "b")
     )
+
+
+def verified(near: DataFrame, docs: DataFrame, settings: Settings, folder: str) -> DataFrame:
+    """The (a, b) of ``near`` (stored pairs) whose full sets are similar enough."""
     wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
     texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    found = stored(sets(texts, settings).dropDuplicates(["doc_id"]), f"{folder}/sets")
+    found = stored(sets(texts, settings), f"{folder}/sets")
     pivots = found.join(near.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # One set of an id: chosen in the exchange that the join needs anyway.
+    one = F.min("shingles").alias("shingles")
     both = F.size(F.array_intersect("sa", "sb"))
     return stored(
-        near.join(found.toDF("b", "sb"), "b")
-        .join(pivots.toDF("a", "sa"), "a")
+        near.join(found.groupBy("doc_id").agg(one).toDF("b", "sb"), "b")
+        .join(pivots.groupBy("doc_id").agg(one).toDF("a", "sa"), "a")
         .where(both * 100 >= (F.size("sa") + F.size("sb") - both) * settings.percent)
         .select("a", "b"),
         f"{folder}/links",
@@ -284,52 +308,47 @@ def link(docs: DataFrame, settings: Settings) -> DataFrame:
     order = F.struct("bands", (-F.col("a")).alias("less"))
     best = met.groupBy("b").agg(F.max_by("a", order).alias("a")).select("a", "b")
     tested = stored(best, f"{folder}/tested")
-    links = verified(tested, reps, docs, settings, f"{folder}/stars")
+    near = stored(likely(tested, reps, settings), f"{folder}/near")
+    links = verified(near, docs, settings, f"{folder}/stars")
 
     # Pairs that have not been compared can matter only between components.
-    step = 0
     component = contract(links, f"{folder}/contract")
-    while True:
-        step += 1
-        grouped = stored(
-            buckets.join(component.toDF("rep", "component"), "rep", "left").select(
-                "key", "rep", F.coalesce("component", "rep").alias("c")
-            ),
-            f"{folder}/grouped_{step}",
-        )
-        split = stored(
-            grouped.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high"),
-            f"{folder}/split_{step}",
-        )
-        still = grouped.join(split.select("key"), "key").join(
-            reps.select("rep", "n_shingles", "planes", "bands"), "rep"
-        )
-        still = stored(still.select("key", "rep", "c", "n_shingles", "planes", "bands"), f"{folder}/still_{step}")
-        # Judged inside the join, so that it gives plausible pairs only, and each once: in the
-        # first band that a pair agrees in.
-        first = F.element_at(F.filter(F.zip_with("ba", "bb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
-        across = (
-            still.toDF("key", "a", "ca", "na", "pa", "ba")
-            .join(
-                still.toDF("key_b", "b", "cb", "nb", "pb", "bb"),
-                (F.col("key") == F.col("key_b"))
-                & (F.col("a") < F.col("b"))
-                & (F.col("ca") != F.col("cb"))
-                & plausible(settings)
-                & (first == F.col("key")),
-            )
-            .select("a", "b")
-            .join(tested, ["a", "b"], "left_anti")
+    grouped = stored(
+        buckets.join(component.toDF("rep", "component"), "rep", "left").select(
+            "key", "rep", F.coalesce("component", "rep").alias("c")
+        ),
+        f"{folder}/grouped",
+    )
+    split = grouped.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    split = stored(split.select("key"), f"{folder}/split")
+    brief = F.col("key").bitwiseAND(F.lit(BRIEF)).cast("int")
+    signatures = reps.select(
+        "rep", "n_shingles", "planes", F.transform("bands", lambda x: x.bitwiseAND(F.lit(BRIEF)).cast("int"))
+    ).toDF("rep", "n", "planes", "bands")
+    still = stored(
+        grouped.join(split, "key").join(signatures, "rep").select("key", "rep", "c", "n", "planes", "bands"),
+        f"{folder}/still",
+    )
+    # Judged inside the join, so that it gives plausible pairs only, and each once: in the
+    # first band that a pair agrees in.
+    first = F.element_at(F.filter(F.zip_with("ba", "bb", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), 1)
+    across = (
+        still.toDF("key", "a", "ca", "na", "pa", "ba")
+        .join(
+            still.toDF("key_b", "b", "cb", "nb", "pb", "bb"),
+            (F.col("key") == F.col("key_b"))
+            & (F.col("a") < F.col("b"))
+            & (F.col("ca") != F.col("cb"))
+            & plausible(settings)
+            & (first == brief),
         )
-        across = stored(across, f"{folder}/across_{step}")
-        if across.isEmpty():
-            break
-        more = verified(across, reps, docs, settings, f"{folder}/more_{step}")
-        tested = stored(tested.union(across), f"{folder}/tested_{step}")
-        if more.isEmpty():
-            break
-        links = stored(links.union(more), f"{folder}/links_{step}")
-        component = contract(links, f"{folder}/contract_{step}")
+        .select("a", "b")
+        .join(tested, ["a", "b"], "left_anti")
+    )
+    across = stored(across, f"{folder}/across")
+    if not across.isEmpty():
+        more = verified(across, docs, settings, f"{folder}/more")
+        component = contract(links.union(more), f"{folder}/contract_all")
 
     settled = stored(
         reps.select("digest", "rep")
