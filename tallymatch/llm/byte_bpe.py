@@ -22,11 +22,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder, forget, packed
+from .chunks import ChunkEncoder, forget, packed, splitter
 from .common import ship, slices, table
 
 MEMO = 150_000
@@ -149,7 +148,7 @@ class Replayer:
     """Gives the bytes (little-endian unsigned 32-bit ids) of chunks of text."""
 
     def __init__(self, path: str, pattern: str):
-        self.merges, self.find = Merges(path), regex.compile(pattern).findall
+        self.merges, self.find = Merges(path), splitter(pattern)
         self.known: dict[str, bytes] = {}
 
     def __call__(self, chunks: list[str]) -> list[bytes]:

@@ -12,6 +12,8 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable, Iterable
 
+import regex
+
 MEMO_CHUNKS = 300_000
 
 
@@ -20,6 +22,27 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """``findall`` of a split pattern; a chunk of ASCII letters alone needs no search.
+
+    Where the pattern takes letters in a row as one piece, such a chunk is one piece, with the space
+    before it or without, as the pattern has it for any letter.
+    """
+    find = regex.compile(pattern).findall
+    if not regex.search(r"\\p\{L\}\]?\+", pattern):
+        return find
+    spaced = find(" a") == [" a"]
+
+    def split(chunk: str) -> list[str]:
+        if chunk.isascii():
+            word = chunk[1:] if chunk[:1] == " " else chunk
+            if word.isalpha():
+                return [chunk if spaced else word]
+        return find(chunk)
+
+    return split
+
+
 def _open(part: str) -> bool:
     """Empty, or with white space (in the widest sense) at an end."""
     return not part or part.strip() is not part

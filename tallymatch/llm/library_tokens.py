@@ -11,9 +11,7 @@ import json
 import os
 from functools import lru_cache
 
-import regex
-
-from .chunks import ChunkEncoder, forget, packed
+from .chunks import ChunkEncoder, forget, packed, splitter
 
 #: How byte-level vocabularies write a byte: printable ones as they are, the others from
 #: U+0100 on, in order (fixed by the vocabulary files).
@@ -44,14 +42,16 @@ class LibraryChunks:
         patterns = [
             p["pattern"]["Regex"] for p in split.get("pretokenizers", ()) if p["type"] == "Split"
         ]
-        self.find = regex.compile(patterns[0] if patterns else BYTE_LEVEL_PATTERN).findall
+        self.find = splitter(patterns[0] if patterns else BYTE_LEVEL_PATTERN)
         self.lower = "Lowercase" in json.dumps(spec.get("normalizer"))
         self.tokenize = self.whole.model.tokenize
+        self.bytes_of = [packed([k]) for k in range(self.whole.get_vocab_size())]
         self.pieces: dict[str, bytes] = {}
 
     def _piece(self, piece: str) -> bytes:
-        shown = piece.encode().decode("latin-1").translate(BYTE_TEXT)
-        return packed([t.id for t in self.tokenize(shown)])
+        shown = piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_TEXT)
+        bytes_of = self.bytes_of
+        return b"".join([bytes_of[t.id] for t in self.tokenize(shown)])
 
     def __call__(self, chunks: list[str]) -> list[bytes]:
         pieces = self.pieces
