@@ -232,3 +232,42 @@ def test_estimate_is_corrected_for_chance(spark):
 
     value = a.join(b).select(minhash.estimate(F.col("p1"), F.col("p2"), minhash.QUERY)).first()[0]
     assert abs(value) < 0.2
+
+
+def test_parities_bound_the_difference_of_sets():
+    """Bitmaps differ in no more bits than the shingles that only one set has, whatever the sizes."""
+    import numpy as np
+
+    draw = np.random.default_rng(7)
+    for size, own in ((1, 1), (40, 3), (300, 20), (5000, 400)):
+        shared = draw.integers(0, 1 << 63, size, dtype=np.uint64)
+        a, b = (
+            np.unique(np.concatenate([shared, draw.integers(0, 1 << 63, own, dtype=np.uint64)])) for _ in range(2)
+        )
+        pairs = zip(minhash.parities(a), minhash.parities(b), strict=True)
+        differing = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in pairs)
+        assert differing <= len(np.setxor1d(a, b))
+        assert minhash.parities(a) == minhash.parities(a[::-1])
+
+
+def test_minhash_rows_of_one_id_are_one_node(spark):
+    """Other texts under the same id: one node, whose component all of its rows get, on every layout."""
+    words = [f"w{k}" for k in range(60)]
+    other = [f"v{k}" for k in range(60)]
+    rows = [
+        (1, " ".join(words)),
+        (8, " ".join([*words, "x"])),
+        (8, " ".join(other)),
+        (20, "nothing like the others at all"),
+    ]
+    seen = set()
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = minhash.link(df, minhash.QUERY).collect()
+        assert len(found) == 4
+        seen.add(tuple(sorted((r.doc_id, r.n_shingles, r.component_id) for r in found)))
+    assert len(seen) == 1
+    components = {}
+    for doc_id, _, component in seen.pop():
+        components.setdefault(doc_id, set()).add(component)
+    assert all(len(c) == 1 for c in components.values()) and components[20] == {20}
