@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship
+
 #: At least 2^16 and at most 2^27 bits (16 MB), in between 32 or more for each hash.
 LEAST_BITS, MOST_BITS = 16, 27
 
@@ -45,3 +49,30 @@ class Bitmap:
         for bit in (hashes & mask, hashes >> np.uint64(32) & mask):
             found &= (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
         return found
+
+
+def sieve(keys: DataFrame, within: bool = True) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lets rows pass whose last column, the ``xxhash64`` of a key, may be of the keys, or surely is not; drops that column.
+
+    ``keys`` is a stored frame of one column.  A bitmap of them is in every task.
+    """
+    spark = keys.sparkSession
+    ship(spark)
+    bitmap = spark.sparkContext.broadcast(Bitmap.of(keys.select(F.xxhash64(keys.columns[0])), keys.count()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mark = batch.num_columns - 1
+            found = bitmap.value.holds(batch.column(mark).to_numpy().view(np.uint64))
+            yield batch.filter(pa.array(found == within)).select(list(range(mark)))
+
+    return run
+
+
+def sifted(df: DataFrame, key: str, keys: DataFrame, within: bool = True) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may be among ``keys``, or is surely not.
+
+    Nothing is shuffled.  Some strangers are among the first, and none of the keys is lost; both
+    kinds together are all rows, each once.
+    """
+    return df.select("*", F.xxhash64(key).alias("_mark")).mapInArrow(sieve(keys, within), df.schema)

@@ -42,6 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bitmaps import sieve, sifted
 from .common import WORD, fresh_folder, ship, slices, stored, table
 
 SIGMAS = 6
@@ -175,20 +176,24 @@ def sign(docs: DataFrame, settings: Settings) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
 
 
-def sets(docs: DataFrame, settings: Settings) -> DataFrame:
-    """The shingle hashes of every document."""
+def sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """The shingle hashes of every document whose id is wanted (a stored frame of ids).
+
+    Texts are not shuffled: a bitmap picks them, so there are a few others as well.
+    """
     ship(docs.sparkSession)
+    passed = sieve(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(settings)
-        for keys, texts in slices(batches):
+        for keys, texts in slices(passed(batches)):
             found = [signer.set_of(text)[1].view(np.int64) for text in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, type=pa.int64()), pa.array(found, type=pa.list_(pa.int64()))],
                 names=["doc_id", "shingles"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SETS)
+    return docs.select("doc_id", "text", F.xxhash64("doc_id")).mapInArrow(run, SETS)
 
 
 def estimate(a: Column, b: Column, settings: Settings) -> Column:
@@ -264,9 +269,8 @@ def likely(pairs: DataFrame, reps: DataFrame, settings: Settings) -> DataFrame:
 
 def verified(near: DataFrame, docs: DataFrame, settings: Settings, folder: str) -> DataFrame:
     """The (a, b) of ``near`` (stored pairs) whose full sets are similar enough."""
-    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
-    found = stored(sets(texts, settings), f"{folder}/sets")
+    wanted = stored(near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct(), f"{folder}/wanted")
+    found = stored(sets(docs, wanted, settings), f"{folder}/sets")
     pivots = found.join(near.select(F.col("a").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # One set of an id: chosen in the exchange that the join needs anyway.
     one = F.min("shingles").alias("shingles")
@@ -373,7 +377,10 @@ def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline: the smallest document of each component, with its own columns; five words, 0.8."""
     gone = link(docs, STAGE).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = stored(gone, f"{fresh_folder(spark)}/gone")
+    # Only documents that may be gone are shuffled with their texts.
+    doubtful = sifted(docs, "doc_id", gone).join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return sifted(docs, "doc_id", gone, within=False).unionByName(doubtful)
 
 
 QUERIES = {"op3_minhash": minhash}

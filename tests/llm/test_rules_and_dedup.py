@@ -11,6 +11,7 @@ import pytest
 from oracle import assert_matches, connect
 
 from tallymatch.llm import exact_dedup, minhash, quality_rules
+from tallymatch.llm.bitmaps import sifted
 from tallymatch.llm.queries import llm_queries, llm_sql
 
 SF = "/root/testdata/sf0.01"
@@ -271,3 +272,37 @@ def test_minhash_rows_of_one_id_are_one_node(spark):
     for doc_id, _, component in seen.pop():
         components.setdefault(doc_id, set()).add(component)
     assert all(len(c) == 1 for c in components.values()) and components[20] == {20}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_minhash_shuffles_no_text_to_pick_documents(spark, nasty, documents, monkeypatch):
+    picked, sets = [], minhash.sets
+    monkeypatch.setattr(minhash, "sets", lambda *given: picked.append(sets(*given)) or picked[-1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert minhash.link(documents, minhash.QUERY).count() == documents.count()
+        assert picked and not any(word in _plan(df) for df in picked for word in ("Exchange", "Join"))
+        kept = minhash.stage(spark, nasty, SF)
+        sure = re.search("MapInArrow.*?Scan", _plan(kept), re.S).group()  # the first branch of the union
+        assert "text" in sure and "Exchange" not in sure
+        linked = minhash.link(nasty, minhash.STAGE).where("doc_id <> component_id").select("doc_id").collect()
+        gone = {r.doc_id for r in linked}
+        assert gone
+        expected = sorted((r.doc_id or 0, r.text or "") for r in nasty.collect() if r.doc_id not in gone)
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == expected
+        assert kept.columns == nasty.columns
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sifted_rows_are_all_rows_once(spark):
+    df = spark.range(20_000).selectExpr("if(id % 7 = 0, null, id) as k", "cast(id as string) as t")
+    keys = spark.range(0, 20_000, 400).toDF("k")
+    may, sure = (sifted(df, "k", keys, within) for within in (True, False))
+    assert may.schema == sure.schema == df.schema
+    assert may.unionByName(sure).exceptAll(df).isEmpty() and may.count() + sure.count() == df.count()
+    assert may.join(keys, "k", "left_semi").count() == df.join(keys, "k", "left_semi").count()
+    assert sure.join(keys, "k", "left_semi").isEmpty() and may.count() < 3000
