@@ -12,7 +12,9 @@
    needs the shorter of two prefixes only.
    Combinations are made of prefixes up to ``PAIRED`` shingles; longer ones hold single
    shingles instead.  Sets around that size have both kinds of keys, so every pair has one in common.
-4. Under a key, members are paired with a few centres (stars), and links are contracted.  Then, once,
+4. Under a key, members are paired with a few centres (stars), and links are contracted.  Where a key
+   still has several components, its members are paired with one of the least and one of the greatest
+   (merges), so that a dense group becomes one component by as many pairs as it has members.  Then, once,
    all pairs under a key whose components still differ are compared.  Sizes, positions and
    parity bitmaps of the sets, all of them exact bounds, leave out what cannot be a link.
 5. Every link is confirmed on full sets of 64-bit hashes, read for the nodes of such pairs only.
@@ -50,6 +52,9 @@ PAIRED = 32
 #: Centres of a key that its members are compared with before all pairs between components are; they save work only.
 STARS = 3
 
+#: Rounds in which candidates are paired; merges save work only.
+ROUNDS = ("stars", "merge", "merge again", "rest")
+
 KINDS = byte_kinds(between=b"\x20\x09\x0a\x0b\x0c\x0d")
 
 SIGNED = "doc_id long, digest binary, n_shingles long, keys array<long>, room array<int>, parity array<long>, brief array<long>"
@@ -347,10 +352,34 @@ def allowed(pairs: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame
     )
 
 
+def placed_in(buckets: DataFrame, component: DataFrame, folder: str) -> DataFrame:
+    """The members of keys with their component, ``c``."""
+    placed = buckets.join(component.toDF("node", "component").hint("merge"), "node", "left")
+    return stored(placed.withColumn("c", F.coalesce("component", "node")).drop("component"), f"{folder}/placed")
+
+
+def merge_pairs(buckets: DataFrame, nodes: DataFrame, component: DataFrame, settings: Settings, folder: str) -> DataFrame:
+    """Pairs of nodes with a node of the least and of the greatest component of their keys: of each such
+    component the node that they share most keys with."""
+    placed = placed_in(buckets, component, folder)
+    end = F.struct("c", "node", "size", "room")
+    ends = placed.groupBy("key").agg(F.min(end).alias("low"), F.max(end).alias("high")).where("low.c <> high.c")
+    ends = stored(ends.select("key", F.array("low", "high").alias("ends")), f"{folder}/ends")
+    met = (
+        placed.join(ends.hint("merge"), "key")
+        .select("node", "size", "room", "c", F.inline("ends").alias("ca", "a", "na", "ra"))
+        .where(F.col("c") != F.col("ca"))
+        .where(room_for_link(settings, "size", "na", "room", "ra"))
+    )
+    counted = met.groupBy("ca", "a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = counted.groupBy("b", "ca").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return stored(allowed(pairs, nodes, settings), f"{folder}/merge_pairs")
+
+
 def all_pairs(buckets: DataFrame, nodes: DataFrame, component: DataFrame, settings: Settings, folder: str) -> DataFrame:
     """All pairs under a key between different components, as far as sizes, places and parities allow a link."""
-    placed = buckets.join(component.toDF("node", "component").hint("merge"), "node", "left")
-    placed = stored(placed.withColumn("c", F.coalesce("component", "node")).drop("component"), f"{folder}/placed")
+    placed = placed_in(buckets, component, folder)
     split = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     still = placed.join(split.select("key").hint("merge"), "key").join(nodes.select("node", "brief").hint("merge"), "node")
     still = stored(still.select("key", "node", "size", "room", "c", "brief"), f"{folder}/still")
@@ -419,17 +448,18 @@ def shared_keys(nodes: DataFrame, folder: str) -> DataFrame:
 
 
 def components(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, settings: Settings, folder: str) -> DataFrame:
-    """The component of every linked node, in two rounds: stars, then all that is left between components."""
+    """The component of every linked node: by stars, by merges, then by all that is left between components."""
     spark = docs.sparkSession
     none = spark.createDataFrame([], "a long, b long")
     known, sets, links = None, None, none
     component = none.toDF("node", "component")
-    for step in ("stars", "rest"):
-        here = f"{folder}/{step}"
+    for step in ROUNDS:
+        here = f"{folder}/{step.replace(' ', '_')}"
         if step == "stars":
             near = star_pairs(buckets, nodes, settings, here)
         else:
-            near = all_pairs(buckets, nodes, component, settings, here)
+            pairs = all_pairs if step == "rest" else merge_pairs
+            near = pairs(buckets, nodes, component, settings, here)
         if near.isEmpty():
             continue
         ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
@@ -440,8 +470,10 @@ def components(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, settings:
         if not wanted.isEmpty():
             more = stored(sets_of(docs, wanted, settings), f"{here}/sets")
             sets = more if sets is None else sets.union(more)
-            known = wanted.select("node")
+            known = wanted.select("node") if known is None else known.union(wanted.select("node"))
         found = confirmed(near, sets, settings, here)
+        if found.isEmpty():
+            continue
         links = links.union(found)
         component = contract(links, f"{here}/contract")
     return component

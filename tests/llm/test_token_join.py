@@ -158,3 +158,16 @@ def test_filter_agrees_with_the_sql_hash(spark):
     bitmap = Bitmap.of(marked, 1)
     assert bitmap.holds(np.array([mark, mark + 1], dtype=np.uint64)).tolist() == [True, False]
     assert np.bitwise_count(bitmap.words).sum() <= 2
+
+
+def test_a_dense_group_needs_no_pairs_in_its_square(spark, monkeypatch):
+    """Even where centres lead nowhere, members that are linked are one component before all pairs are compared."""
+    words = [f"w{k}" for k in range(240)]
+    texts = [" ".join([*words[: 4 * k], f"x{k}", *words[4 * k + 1 :]]) for k in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    left, all_pairs = [], token_join.all_pairs
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(token_join, "star_pairs", lambda *_: none)
+    monkeypatch.setattr(token_join, "all_pairs", lambda *given: left.append(all_pairs(*given)) or left[-1])
+    assert {r.component_id for r in token_join.link(df).collect()} == {0}
+    assert left[0].isEmpty()
