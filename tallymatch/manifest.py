@@ -29,7 +29,8 @@ def manifest_of(target: str) -> str:
 
 def _append(entries: DataFrame, target: str) -> None:
     place, spark = manifest_of(target), entries.sparkSession
-    rows = entries.withColumn("recorded_at", F.current_timestamp()).select(*M.MANIFEST_SCHEMA.fieldNames()).coalesce(1)
+    rows = entries.withColumn("recorded_at", F.current_timestamp()).select(*M.MANIFEST_SCHEMA.fieldNames())
+    rows = rows.hint("rebalance", *SLICE)  # few files, and many tables are still counted by many tasks
     if is_path(target):
         rows.write.mode("append").partitionBy(*SLICE).parquet(place)
     else:

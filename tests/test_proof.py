@@ -15,7 +15,7 @@ from tallymatch import TableSpec
 from tallymatch import model as M
 from tallymatch.functions import ANY_SCALE, canonical, escaped, exact_difference, plain, unescaped
 from tallymatch.functions.verdict import metric_diff, metric_status
-from tallymatch.manifest import read_manifest
+from tallymatch.manifest import read_manifest, record_slices
 from tallymatch.plans import (
     compare_stored,
     ingest_old,
@@ -264,3 +264,19 @@ def test_first_lines_go_by_their_place(spark, folder):
     _save(folder, "b.tsv", "only one field", "\t", "a\tb")
     found = read_strict_tsv(spark, folder, ["a", "b"], header=True)
     assert rows(found) == [("", ""), ("1", "2"), ("a", "b"), ("a", "b")]
+
+
+def test_entries_of_many_tables_are_not_written_by_one_task(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr(
+        "'old' as cluster", "'2026-01-01' as data_dt", "concat('t_', id) as table_name", "timestamp'2026-01-01' as computed_at"
+    )
+    small = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    for name in small:
+        spark.conf.set(name, "64k")
+    try:
+        record_slices(rows.repartition(6), f"{tmp_path}/summary")
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    entries = read_manifest(spark, f"{tmp_path}/summary")
+    assert entries.count() == 60_002 and len(entries.inputFiles()) > 1
