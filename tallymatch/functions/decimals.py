@@ -24,10 +24,17 @@ def _parts(c: Column) -> Column:
     """Struct of a number's text: whether it is one, its sign, its digits without outer zeros
     (none for zero), and the power of ten that they are multiplied by."""
 
-    def matched(text: Column) -> Column:
-        sign, whole, part, power = (F.regexp_extract(text, _NUMBER, k) for k in range(1, 5))
+    def marked(text: Column) -> Column:
+        # One match gives all groups: a number's text holds no comma, so what is replaced has changed.
+        return _let(
+            F.regexp_replace(text, _NUMBER, "$1,$2,$3,$4"),
+            lambda groups: F.struct((groups != text).alias("shaped"), F.split(groups, ",").alias("groups")),
+        )
+
+    def matched(g: Column) -> Column:
+        sign, whole, part, power = (F.get(g["groups"], F.lit(k)) for k in range(4))
         return F.struct(
-            text.rlike(_NUMBER).alias("shaped"),
+            g["shaped"].alias("shaped"),
             sign.alias("sign"),
             F.concat(whole, part).alias("all"),
             F.length(part).alias("behind"),
@@ -46,7 +53,7 @@ def _parts(c: Column) -> Column:
             (f["m"]["power"] - f["m"]["behind"] + F.length(f["front"]) - F.length(digits)).alias("exponent"),
         )
 
-    return _let(c, lambda text: _let(_let(matched(text), without_zeros), numbered))
+    return _let(c, lambda text: _let(_let(_let(marked(text), matched), without_zeros), numbered))
 
 
 def canonical(c: Column) -> Column:
@@ -107,15 +114,19 @@ def exact_difference(new: Column, old: Column) -> Column:
             both = [s[side].try_cast(kind) for side in ("new_text", "old_text")]
             return F.when(fits(s["new"], scale) & fits(s["old"], scale), F.try_subtract(*both).cast("string"))
 
-        new_, old_ = s["new"], s["old"]
-        alike = (new_["digits"] == old_["digits"]) & (
-            (new_["digits"] == "") | ((new_["sign"] == old_["sign"]) & (new_["exponent"] == old_["exponent"]))
-        )
-        return F.when(new_["ok"] & old_["ok"] & alike, "0").otherwise(F.coalesce(*[at(scale) for scale in _SCALES]))
+        return F.coalesce(*[at(scale) for scale in _SCALES])
 
     def sides(s: Column) -> Column:
         texts = [_written(s[side]).alias(f"{side}_text") for side in ("new", "old")]
         return F.struct(s["new"].alias("new"), s["old"].alias("old"), *texts)
 
-    parts = F.struct(_parts(new).alias("new"), _parts(old).alias("old"))
-    return plain(_let(_let(parts, sides), subtracted))
+    def difference(s: Column) -> Column:
+        new_, old_ = s["new"], s["old"]
+        alike = (new_["digits"] == old_["digits"]) & (
+            (new_["digits"] == "") | ((new_["sign"] == old_["sign"]) & (new_["exponent"] == old_["exponent"]))
+        )
+        # Equal numbers, most of them, are neither written out nor subtracted.
+        both = new_["ok"] & old_["ok"]
+        return F.when(both & alike, "0").when(both, plain(_let(sides(s), subtracted)))
+
+    return _let(F.struct(_parts(new).alias("new"), _parts(old).alias("old")), difference)

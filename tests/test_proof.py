@@ -280,3 +280,11 @@ def test_entries_of_many_tables_are_not_written_by_one_task(spark, tmp_path):
             spark.conf.unset(name)
     entries = read_manifest(spark, f"{tmp_path}/summary")
     assert entries.count() == 60_002 and len(entries.inputFiles()) > 1
+
+
+def test_a_number_is_matched_once(spark):
+    plan = spark.range(1).select(canonical(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()
+    assert "regexp_extract" not in plan and "RLIKE" not in plan
+    texts = ["1,2,3,4", ",,,", "-,1,,", " +1 ", "\n-0.50e+2\t", "1 2", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "a string").select(canonical(F.col("a")).alias("c"))
+    assert [r.c for r in df.collect()] == [None, None, None, "1E0", "-5E1", None, None, None]
