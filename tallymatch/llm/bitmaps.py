@@ -44,10 +44,13 @@ class Bitmap:
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         """Which of the (unsigned) hashes may belong."""
-        mask = np.uint64(len(self.words) * 64 - 1)
-        found = np.ones(len(hashes), dtype=bool)
-        for bit in (hashes & mask, hashes >> np.uint64(32) & mask):
-            found &= (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+        mask, words = len(self.words) * 64 - 1, self.words.view(np.int64)
+        found = np.zeros(len(hashes), dtype=bool)
+        signed = hashes.view(np.int64)
+        bit = signed & mask
+        first = np.flatnonzero(words[bit >> 6] >> (bit & 63) & 1)
+        bit = signed[first] >> 32 & mask
+        found[first] = (words[bit >> 6] >> (bit & 63) & 1).astype(bool)
         return found
 
 

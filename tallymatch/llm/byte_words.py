@@ -14,8 +14,12 @@ OF_WORD, BETWEEN, PARTING = range(3)
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))  # A-Z only
 
+#: Bytes of a word that are hashed at once, and what to keep of them where only the first few are the word's.
+LOADED = 8
+ONES = np.array([(1 << 8 * k) - 1 for k in range(LOADED + 1)], dtype="<u8")
+
 #: Longer words are hashed one by one.
-POLYNOMIAL_BYTES = 64
+CHAINED_BYTES = 64
 
 
 def byte_kinds(between: bytes, parting: bytes = b"") -> np.ndarray:
@@ -28,44 +32,50 @@ def byte_kinds(between: bytes, parting: bytes = b"") -> np.ndarray:
 class ByteWords:
     """Lower-cased words of several texts in one array, each followed by one separating byte.
 
-    ``starts`` and ``ends`` are places in ``bytes``; ``document`` says which text a word is of, and
-    ``last`` whether an end follows it.  No word crosses texts.
+    ``starts`` and ``ends`` are places in ``bytes``; ``document`` says which text a word is of, ``counts``
+    how many words each text has, and ``last`` whether an end follows a word.  No word crosses texts.
     """
 
     def __init__(self, texts: list[str], kinds: np.ndarray):
         encoded = [t.encode("utf-8", "surrogatepass").translate(LOWER) for t in texts]
-        raw = np.frombuffer(b"\n".join(encoded) + b"\n", dtype=np.uint8)  # a line break separates in all uses
-        found = kinds[raw]
-        parted = found > 0
-        after = np.ones(len(raw), dtype=bool)  # whether the byte before is none of a word
-        after[1:] = parted[:-1]
-        run = np.flatnonzero(parted & ~after)
-        marks = raw.copy()
-        if len(run):
-            marks[run] = np.where(np.maximum.reduceat(found, run) == PARTING, END, SPACE)
-        kept = ~parted | ~after
-        first = ~parted & after
-        self.bytes = marks[kept]
-        self.starts = (np.cumsum(kept) - 1)[first]
-        self.ends = np.cumsum(kept)[run] - 1
-        self.last = self.bytes[self.ends] == END
+        whole = b"\n".join(encoded) + b"\n"  # a line break separates in all uses
+        raw = np.frombuffer(whole, dtype=np.uint8)
+        found = np.frombuffer(whole.translate(kinds.tobytes()), dtype=np.uint8)
+        kept = found == OF_WORD
+        edges = np.flatnonzero(kept[1:] != kept[:-1]) + 1
+        if kept[0]:
+            edges = np.concatenate([[0], edges])
+        first, run = edges[::2], edges[1::2]  # a separator is last, so every word has an end
+        lengths = run - first
+        self.ends = np.cumsum(lengths + 1) - 1
+        self.starts = self.ends - lengths
+        kept[run] = True
+        self.padded = np.concatenate([raw[kept], np.zeros(LOADED, dtype=np.uint8)])
+        self.bytes = self.padded[:-LOADED]
+        self.last = np.zeros(len(run), dtype=bool)
+        ending = np.searchsorted(run, np.flatnonzero(found == PARTING), side="right") - 1
+        self.last[ending[ending >= 0]] = True
+        self.bytes[self.ends] = np.where(self.last, np.uint8(END), np.uint8(SPACE))
         size = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) + 1
-        self.document = np.searchsorted(np.cumsum(size), np.flatnonzero(first), side="right")
+        self.counts = np.diff(np.searchsorted(first, np.cumsum(size)), prepend=0)
+        self.document = np.repeat(np.arange(len(texts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        """A 64-bit hash of the bytes of every word: a polynomial, or a digest of a long one."""
+        """A 64-bit hash of the bytes of every word, eight at a time; a digest of a long one."""
         import xxhash
 
-        if not len(self.starts):
-            return np.zeros(0, dtype=np.uint64)
         lengths = self.ends - self.starts
-        powers = np.full(POLYNOMIAL_BYTES + 1, 0x9E3779B97F4A7C15, dtype=np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        place = np.arange(len(self.bytes)) - np.repeat(self.starts, lengths + 1)
-        values = (self.bytes.astype(np.uint64) + np.uint64(1)) * powers[np.minimum(place, POLYNOMIAL_BYTES)]
-        values[self.ends] = 0
-        hashes = np.add.reduceat(values, self.starts)
-        for k in np.flatnonzero(lengths > POLYNOMIAL_BYTES):
-            hashes[k] = xxhash.xxh3_64_intdigest(self.bytes[self.starts[k] : self.ends[k]].tobytes())
-        return mixed(hashes)
+        hashes = mixed(lengths.astype(np.uint64))
+        loads = np.ndarray(len(self.bytes) + 1, dtype="<u8", buffer=self.padded, strides=(1,))
+        part = loads[self.starts] & ONES[np.minimum(lengths, LOADED)]
+        hashes = mixed(hashes + part)
+        more = np.flatnonzero((lengths > LOADED) & (lengths <= CHAINED_BYTES))
+        at = LOADED
+        while len(more):
+            part = loads[self.starts[more] + at] & ONES[np.minimum(lengths[more] - at, LOADED)]
+            hashes[more] = mixed(hashes[more] + part)
+            at += LOADED
+            more = more[lengths[more] > at]
+        for k in np.flatnonzero(lengths > CHAINED_BYTES):
+            hashes[k] = mixed(np.uint64([xxhash.xxh3_64_intdigest(self.bytes[self.starts[k] : self.ends[k]].tobytes())]))[0]
+        return hashes

@@ -9,8 +9,9 @@
    into double-array tries of at most ``TRIE_KEYS`` keys, built in tasks.
 3. Groups of tries of bounded size are broadcast.  In each task, the states of all word
    starts of a slice of texts advance together, one byte a level; a state with one key left
-   compares the rest of it at once.  Accepted keys are counted by bincount and tasks' counts summed.
-   These counts are exact.  More candidates than one group holds take more passes.
+   compares the rest of it at once.  Accepted keys are counted by bincount, and tasks' counts, sent in
+   chunks of keys, are summed.  These counts are exact.  More candidates than one group holds take
+   more passes; the first one also counts all words of each language.
 4. Scores, containment and ranks are SQL.
 
 All work on texts is numpy over the bytes of a slice; only candidates become strings.
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bitmaps import Bitmap
-from .byte_words import ByteWords, byte_kinds
+from .byte_words import END, LOADED, ONES, SPACE, ByteWords, byte_kinds
 from .common import fresh_folder, ship, slices, stored, table
 from .minhash import mixed
 
@@ -44,6 +45,11 @@ TRIE_KEYS = 1 << 18
 TRIE_BYTES = 8 << 20
 PASS_BYTES = 48 << 20
 
+#: Keys of a trie whose counts a task sends together.
+CHUNK = 1 << 12
+#: The chunk, and the place in it, that stands for all words of a language.
+WORDS = -1
+
 KINDS = byte_kinds(between=b" \t", parting=b".,;:!?\n\x0b\x0c\r")
 
 
@@ -72,30 +78,45 @@ class Words(ByteWords):
         self.texts = np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts], dtype=np.uint64)
         self.langs = sorted(set(langs))
         of_lang = {lang: k for k, lang in enumerate(self.langs)}
-        self.lang = np.array([of_lang[lang] for lang in langs], dtype=np.int64)[self.document]
+        self.lang = np.repeat(np.array([of_lang[lang] for lang in langs], dtype=np.int64), self.counts)
         self.salts = np.array([xxhash.xxh3_64_intdigest(lang.encode()) for lang in self.langs], dtype=np.uint64)
+        self.hashed: np.ndarray | None = None
 
     def hashes(self) -> np.ndarray:
         """A hash of the language and the bytes of every word."""
-        return mixed(super().hashes() ^ self.salts[self.lang])
+        if self.hashed is None:
+            self.hashed = mixed(super().hashes() ^ self.salts[self.lang])
+        return self.hashed
 
     def marks(self, at: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         """A hash of each phrase (first word, hash) together with the text it stands in."""
         return mixed(hashes ^ self.texts[self.document[at]])
 
+    def longer(self, length: int, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, hash) of all phrases one word longer than the given ones whose both parts are given."""
+        both = at[1:] == at[:-1] + 1
+        if length == 1:
+            both &= ~self.last[at[:-1]]
+        both = np.flatnonzero(both)
+        at = at[both]
+        return at, mixed(hashes[both] * np.uint64(3) + self.hashes()[at + length])
+
+    def may_be_frequent(self, frequent: list[Bitmap]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(first word, hash) of the phrases of each length, from one word on, that may be frequent, as may their parts."""
+        at, hashes = np.arange(len(self.starts)), self.hashes()
+        for length, bitmap in enumerate(frequent, 1):
+            if length > 1:
+                at, hashes = self.longer(length - 1, at, hashes)
+            fits = np.flatnonzero(bitmap.holds(hashes))
+            at, hashes = at[fits], hashes[fits]
+            yield at, hashes
+
     def phrases(self, length: int, frequent: list[Bitmap]) -> tuple[np.ndarray, np.ndarray]:
         """(first word, hash) of all phrases of a length whose shorter parts may be frequent."""
-        words = self.hashes()
-        hashes, fits = words, np.ones(len(words), dtype=bool)
-        for k in range(1, length):
-            fits[fits] = frequent[k - 1].holds(hashes[fits])
-            both = fits[:-1] & fits[1:]
-            if k == 1:
-                both &= ~self.last[:-1]
-            hashes = mixed(hashes[:-1] * np.uint64(3) + words[k:])
-            fits = both
-        at = np.flatnonzero(fits)
-        return at, hashes[at]
+        if length == 1:
+            return np.arange(len(self.starts)), self.hashes()
+        *_, parts = self.may_be_frequent(frequent[: length - 1])
+        return self.longer(length - 1, *parts)
 
     def text(self, first: int, length: int) -> str:
         return self.bytes[self.starts[first] : self.ends[first + length - 1]].tobytes().decode("utf-8", "surrogatepass")
@@ -111,6 +132,21 @@ def _source(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").alias("text"))
 
 
+def grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, a place and the number of each.
+
+    Sorted by their high bits alone, with places in the low ones, which is several times as fast as
+    sorting places by hashes.  Hashes that agree in all high bits may come in several parts.
+    """
+    low = np.uint64((1 << len(hashes).bit_length()) - 1)
+    order = hashes & ~low | np.arange(len(hashes), dtype=np.uint64)
+    order.sort()
+    order = (order & low).view(np.int64)
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(hashes), 1), dtype=bool), hashes[1:] != hashes[:-1]]))
+    return hashes[first], order[first], np.diff(first, append=len(hashes))
+
+
 def frequent_hashes(docs: DataFrame, length: int, frequent: list[Broadcast], least: int) -> DataFrame:
     """(hash, n, mark) of phrases of that length, at least ``least`` of them, by hash.
 
@@ -125,8 +161,8 @@ def frequent_hashes(docs: DataFrame, length: int, frequent: list[Broadcast], lea
             none = np.zeros(0, dtype=np.uint64)
             hashes, marks = (np.concatenate([none, *columns]) for columns in (zip(*held) if held else ((), ())))
             held.clear()
-            found, first, n = np.unique(hashes, return_index=True, return_counts=True)
-            columns = {"hash": found.view(np.int64), "n": n.astype(np.int64), "mark": marks[first].view(np.int64)}
+            found, place, n = grouped(hashes)
+            columns = {"hash": found.view(np.int64), "n": n, "mark": marks[place].view(np.int64)}
             return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
         for words in words_of(batches):
@@ -141,18 +177,6 @@ def frequent_hashes(docs: DataFrame, length: int, frequent: list[Broadcast], lea
     return summed.where(F.col("n") >= least)
 
 
-def word_totals(docs: DataFrame) -> DataFrame:
-    """(lang, n): occurrences of words."""
-    ship(docs.sparkSession)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words in words_of(batches):
-            n = np.bincount(words.lang, minlength=len(words.langs))
-            yield pa.RecordBatch.from_pydict({"lang": pa.array(words.langs, pa.string()), "n": pa.array(n.astype(np.int64))})
-
-    return _source(docs).mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
-
-
 def candidate_texts(docs: DataFrame, frequent: list[Broadcast], owned: Broadcast) -> DataFrame:
     """(lang, phrase) of all phrases of two words or more whose hash may be frequent.
 
@@ -165,10 +189,10 @@ def candidate_texts(docs: DataFrame, frequent: list[Broadcast], owned: Broadcast
         bitmaps, sent = [b.value for b in frequent], np.zeros(0, dtype=np.uint64)
         for words in words_of(batches):
             langs, phrases = [], []
-            for length in range(2, len(bitmaps) + 1):
-                at, hashes = words.phrases(length, bitmaps)
-                fits = bitmaps[length - 1].holds(hashes)
-                fits[fits] = owned.value.holds(words.marks(at[fits], hashes[fits]))
+            for length, (at, hashes) in enumerate(words.may_be_frequent(bitmaps), 1):
+                if length == 1:
+                    continue
+                fits = owned.value.holds(words.marks(at, hashes))
                 hashes, where = np.unique(hashes[fits], return_index=True)
                 place = np.minimum(np.searchsorted(sent, hashes), max(0, len(sent) - 1))
                 new = sent[place] != hashes if len(sent) else np.ones(len(hashes), dtype=bool)
@@ -181,6 +205,12 @@ def candidate_texts(docs: DataFrame, frequent: list[Broadcast], owned: Broadcast
     return _source(docs).mapInArrow(run, "lang string, phrase string").distinct()
 
 
+def loads(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at every place of ``data`` and at its end, with zeros behind it."""
+    padded = np.concatenate([data, np.zeros(LOADED, dtype=np.uint8)])
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
 class DoubleArray:
     """A trie of sorted byte strings: child of state s by byte c is base[s] + c if check says so.
 
@@ -195,6 +225,8 @@ class DoubleArray:
     def __init__(self, base, check, key, tails, tail_starts, codes):
         self.base, self.check, self.key, self.tails, self.tail_starts = base, check, key, tails, tail_starts
         self.codes = codes
+        self.nodes = np.stack([base, check], axis=1).view(np.int64).ravel()  # both are looked up at once
+        self.tail_loads = loads(tails)
 
     @classmethod
     def build(cls, keys: list[bytes]) -> DoubleArray:
@@ -263,32 +295,36 @@ class DoubleArray:
 
     def counts(self, text: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """How often each key stands at a start, followed by the end of a word."""
-        ends, coded = KINDS[text] > 0, self.codes[text]
+        ends, text_loads = (text == SPACE) | (text == END), loads(text)
+        coded = np.frombuffer(text.tobytes().translate(self.codes.tobytes()), dtype=np.uint8)
         hits = [np.zeros(0, dtype=np.int64)]
         at, state = starts, np.zeros(len(starts), dtype=np.int64)
+        base = np.full(len(starts), self.base[0], dtype=np.int64)
         while len(at):
-            base = self.base[state]
             alone = base < 0
             if alone.any():
-                hits.append(self._tails(text, ends, at[alone], -1 - base[alone].astype(np.int64)))
-                at, state, base = at[~alone], state[~alone], base[~alone]
-            key = self.key[state]
-            hits.append(key[(key >= 0) & ends[at]].astype(np.int64))
-            child = base.astype(np.int64) + coded[at]
-            on = self.check[child] == state
-            at, state = at[on] + 1, child[on]
+                hits.append(self._tails(text, text_loads, ends, at[alone], -1 - base[alone]))
+                going = np.flatnonzero(~alone)
+                at, state, base = at[going], state[going], base[going]
+            key = self.key[state[ends[at]]]
+            hits.append(key[key >= 0].astype(np.int64))
+            child = base + coded[at]
+            node = self.nodes[child].view(np.int32)
+            on = np.flatnonzero(node[1::2] == state)
+            at, state, base = at[on] + 1, child[on], node[::2][on].astype(np.int64)
         return np.bincount(np.concatenate(hits), minlength=self.size)
 
-    def _tails(self, text: np.ndarray, ends: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
-        length = self.tail_starts[key + 1] - self.tail_starts[key]
-        inside = at + length < len(text)
-        at, key, length = at[inside], key[inside], length[inside]
-        ended = ends[at + length]
-        at, key, length = at[ended], key[ended], length[ended]
-        found = length == 0
-        some = np.flatnonzero(length)
+    def _tails(self, text: np.ndarray, text_loads: np.ndarray, ends: np.ndarray, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        first = self.tail_starts[key]
+        length = self.tail_starts[key + 1] - first
+        inside = np.flatnonzero((text_loads[at] ^ self.tail_loads[first]) & ONES[np.minimum(length, LOADED)] == 0)
+        at, key, length, first = at[inside], key[inside], length[inside], first[inside]
+        inside = np.flatnonzero(ends[np.minimum(at + length, len(text) - 1)] & (at + length < len(text)))
+        at, key, length, first = at[inside], key[inside], length[inside], first[inside]
+        found = np.ones(len(at), dtype=bool)
+        some = np.flatnonzero(length > LOADED)
         if len(some):
-            at, length, first = at[some], length[some], self.tail_starts[key[some]]
+            at, length, first = at[some], length[some], first[some]
             begin = np.cumsum(length) - length
             step = np.arange(int(length.sum()))
             equal = text[step + np.repeat(at - begin, length)] == self.tails[step + np.repeat(first - begin, length)]
@@ -340,8 +376,19 @@ def built_tries(keys: DataFrame, folder: str, trie_keys: int = TRIE_KEYS) -> Dat
 
 
 def counted_phrases(docs: DataFrame, tries: DataFrame, folder: str, pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """(lang, phrase, f) of all keys, in as many passes over the texts as bounded broadcasts take."""
-    spark = docs.sparkSession
+    """(lang, phrase, f) of all keys."""
+    return named(tries, counts_of(docs, tries, folder, pass_bytes))
+
+
+def named(tries: DataFrame, counts: DataFrame) -> DataFrame:
+    """(lang, phrase, f) from the ``counts_of`` tries."""
+    listed = tries.select(F.col("trie").alias("name"), "lang", F.posexplode("phrases").alias("at", "phrase"))
+    return listed.join(counts.hint("merge"), ["name", "at"]).select("lang", "phrase", "f")
+
+
+def counts_of(docs: DataFrame, tries: DataFrame, folder: str, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """(name, at, f): of each trie by its name, how often its keys stand in the texts, and under the name
+    of each language, at -1, its number of words; in as many passes over the texts as bounded broadcasts take."""
     sizes = tries.select(
         "trie", sum((F.octet_length(c) for c in ("base", "checks", "keys", "tails", "starts")), F.lit(0)).alias("bytes")
     )
@@ -354,14 +401,12 @@ def counted_phrases(docs: DataFrame, tries: DataFrame, folder: str, pass_bytes:
         held += row.bytes
     counts = None
     for step, names in enumerate(groups):
-        found = _counted(docs, tries.where(F.col("trie").isin(names)))
-        found = stored(found.groupBy("trie", "at").agg(F.sum("n").alias("f")), f"{folder}/{step}")
+        found = stored(_counted(docs, tries.where(F.col("trie").isin(names)), step == 0), f"{folder}/{step}")
         counts = found if counts is None else counts.union(found)
-    listed = tries.select("trie", "lang", F.posexplode("phrases").alias("at", "phrase"))
-    return listed.join(counts.hint("merge"), ["trie", "at"]).select("lang", "phrase", "f")
+    return counts
 
 
-def _counted(docs: DataFrame, tries: DataFrame) -> DataFrame:
+def _counted(docs: DataFrame, tries: DataFrame, with_words: bool) -> DataFrame:
     dtypes = {"base": np.int32, "checks": np.int32, "keys": np.int32, "tails": np.uint8, "starts": np.int64, "codes": np.uint8}
     rows = tries.select("trie", "lang", *dtypes).toArrow()  # at most PASS_BYTES, or one trie
     arrays = [[np.frombuffer(c.as_buffer(), dtype=t) for c in rows[n]] for n, t in dtypes.items()]
@@ -372,18 +417,56 @@ def _counted(docs: DataFrame, tries: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = [(name, lang, DoubleArray(*arrays)) for name, lang, arrays in loaded.value]
         totals = [np.zeros(t.size, dtype=np.int64) for _, _, t in tries]
+        of_lang: dict[str, int] = {}
         for words in words_of(batches):
             starts = {lang: words.starts[words.lang == k] for k, lang in enumerate(words.langs)}
+            for lang, found in starts.items():
+                of_lang[lang] = of_lang.get(lang, 0) + len(found)
             for total, (_, lang, trie) in zip(totals, tries, strict=True):
                 if lang in starts:
                     total += trie.counts(words.bytes, starts[lang])
+        if with_words:
+            yield sent([(lang, WORDS, np.zeros(1, np.int64), np.array([n])) for lang, n in of_lang.items()])
         for total, (name, _, _) in zip(totals, tries, strict=True):
             at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_pydict(
-                {"trie": pa.array([name] * len(at), pa.string()), "at": pa.array(at.astype(np.int32)), "n": pa.array(total[at])}
-            )
+            edges = np.searchsorted(at, np.arange(0, len(total) + CHUNK, CHUNK)).tolist()
+            parts = [(k, at[low:high]) for k, (low, high) in enumerate(zip(edges, edges[1:])) if high > low]
+            yield sent([(name, k, part - k * CHUNK, total[part]) for k, part in parts])
+
+    def sent(rows: list[tuple]) -> pa.RecordBatch:
+        names, chunks, at, n = zip(*rows, strict=True) if rows else ((),) * 4
+        return pa.RecordBatch.from_pydict(
+            {
+                "name": pa.array(names, pa.string()),
+                "chunk": pa.array(chunks, pa.int32()),
+                "at": pa.array([x.astype("<u2").tobytes() for x in at], pa.binary()),
+                "n": pa.array([x.astype("<i8").tobytes() for x in n], pa.binary()),
+            }
+        )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, total = None, np.zeros(CHUNK, dtype=np.int64)
+
+        def summed() -> pa.RecordBatch:
+            name, chunk = of
+            at = np.flatnonzero(total)
+            place = np.full(len(at), WORDS) if chunk == WORDS else at + chunk * CHUNK
+            columns = {"name": pa.array([name] * len(at), pa.string()), "at": pa.array(place.astype(np.int32)), "f": pa.array(total[at])}
+            return pa.RecordBatch.from_pydict(columns)
+
+        for batch in batches:
+            for name, chunk, at, n in zip(*(batch.column(c) for c in range(4)), strict=True):
+                if (name.as_py(), chunk.as_py()) != of:
+                    if of is not None:
+                        yield summed()
+                    of = name.as_py(), chunk.as_py()
+                    total[:] = 0
+                total[np.frombuffer(at.as_buffer(), dtype="<u2")] += np.frombuffer(n.as_buffer(), dtype="<i8")
+        if of is not None:
+            yield summed()
 
-    return _source(docs).mapInArrow(run, "trie string, at int, n long")
+    found = _source(docs).mapInArrow(run, "name string, chunk int, at binary, n binary")
+    return found.repartition("name", "chunk").sortWithinPartitions("name", "chunk").mapInArrow(add, "name string, at int, f long")
 
 
 def _part(first: Column, length: Column) -> Column:
@@ -440,8 +523,9 @@ def collocations(docs: DataFrame, settings: Settings = QUERY) -> DataFrame:
     phrases = stored(candidate_texts(docs, frequent, owned), f"{folder}/phrases")
     words = phrases.select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
     tries = built_tries(stored(phrases.union(words), f"{folder}/keys"), f"{folder}/tries")
-    counts = stored(counted_phrases(docs, tries, f"{folder}/counts"), f"{folder}/counted")
-    totals = stored(word_totals(docs), f"{folder}/totals")
+    found = counts_of(docs, tries, f"{folder}/counts")
+    totals = found.where(F.col("at") == WORDS).select(F.col("name").alias("lang"), F.col("f").alias("n"))
+    counts = stored(named(tries, found), f"{folder}/counted")
     return scored(counts, totals, settings)
 
 

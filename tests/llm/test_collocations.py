@@ -11,6 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import assert_matches, connect
+from pyspark.sql import functions as F
 
 from tallymatch.llm import collocations as col
 
@@ -124,3 +125,38 @@ def test_score_beyond_64_bits(spark):
 def test_hashes_tell_languages_apart():
     words = col.Words(["same word", "same word"], ["a", "b"])
     assert len(np.unique(words.hashes())) == 4
+
+
+def test_grouped_hashes():
+    """Every hash with its number and a place of it, also where hashes agree in all high bits."""
+    draw = np.random.default_rng(3)
+    near = np.uint64(7) << np.uint64(40)
+    for size in (0, 1, 2, 1000):
+        hashes = draw.choice(np.concatenate([draw.integers(0, 1 << 63, 50, dtype=np.uint64), near + np.arange(9, dtype=np.uint64)]), size)
+        found, place, n = col.grouped(hashes)
+        assert np.array_equal(hashes[place], found)
+        sums = Counter()
+        for h, k in zip(found.tolist(), n.tolist(), strict=True):
+            sums[h] += k
+        assert sums == Counter(hashes.tolist())
+
+
+def test_counts_leave_a_task_in_chunks(spark, documents, folder):
+    """Words of a language are counted with the keys, and a task sends a row for many keys, not for each."""
+    texts = documents.select("lang", "text").repartition(3)
+    rows = [(r["lang"] or "und", (r.text or "").translate(FOLD)) for r in texts.collect()]
+    words = Counter()
+    for lang, text in rows:
+        words[lang] += sum(len(re.findall(r"[^ \t]+", piece)) for piece in re.split(r"[.,;:!?\x0a-\x0d]", text))
+    keys = sorted({(lang, w) for lang, text in rows for w in re.findall(r"[a-z]+", text)})
+    tries = col.built_tries(spark.createDataFrame(keys, "lang string, phrase string"), f"{folder}/tries", trie_keys=1 << 18)
+    assert tries.count() <= len(words) and len(keys) > 2 * col.CHUNK
+    small = tries.withColumn("phrases", F.slice("phrases", 1, 1))
+    found = col.counts_of(texts, tries, f"{folder}/counts")
+    assert {r["name"]: r.f for r in found.where("at = -1").collect()} == words
+    assert found.where("at >= 0").groupBy("name", "at").count().where("count > 1").isEmpty()
+    counted = {(r["lang"], r.phrase): r.f for r in col.named(tries, found).collect()}
+    lang, word = max(counted, key=counted.get)
+    want = sum(piece.count(word) for x, text in rows if x == lang for piece in [re.findall(r"[^ \t.,;:!?\x0a-\x0d]+", text)])
+    assert counted[lang, word] == want
+    assert col.named(small, found).count() <= small.count()
