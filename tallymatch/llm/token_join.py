@@ -27,7 +27,6 @@ and its component is null; an empty table gives an empty one; only ``doc_id`` an
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bitmaps import Bitmap
+from .bitmaps import sieve
 from .byte_words import ByteWords, byte_kinds
 from .common import fresh_folder, ship, slices, stored, table
 from .minhash import contract, mixed
@@ -95,7 +94,7 @@ class Shingler:
     def __init__(self, texts: list[str], settings: Settings):
         self.words, self.width = ByteWords(texts, KINDS), settings.width
         self.hashes = self.words.hashes()
-        self.counts = np.bincount(self.words.document, minlength=len(texts))
+        self.counts = self.words.counts
         self.firsts = np.cumsum(self.counts) - self.counts
         n = max(0, len(self.hashes) - self.width + 1)
         self.windows = np.full(n, self.width, dtype=np.uint64)
@@ -253,34 +252,26 @@ def sign(docs: DataFrame, classes: np.ndarray, settings: Settings) -> DataFrame:
 def sets_of(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     """(node, shingles): the full sets of the wanted (node, digest, doc_id).
 
-    A bitmap in every task leaves out most documents that are not wanted, so that no text
-    is shuffled; the few that pass by chance find no partner in the join.
+    A bitmap of their ids in every task leaves out most documents that are not wanted before their words
+    are looked for, and no text is shuffled; the few that pass by chance, or share an id with a wanted
+    one, find no partner in the join.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    marks = wanted.select(F.xxhash64("digest", "doc_id"))
-    bitmap = spark.sparkContext.broadcast(Bitmap.of(marks, wanted.count()))
+    passed = sieve(wanted.select("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        def mark(digest: bytes, key: int | None) -> int:  # as the SQL function does it
-            first = xxhash.xxh64_intdigest(digest, seed=42)
-            return first if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), seed=first)
-
-        for ids, texts in slices(batches):
+        for _, texts in slices(passed(batches)):
             shingler = Shingler(texts, settings)
-            digests = [shingler.digest(k) for k in range(len(texts))]
-            marks = np.array([mark(d, k) for d, k in zip(digests, ids, strict=True)], dtype=np.uint64)
-            passed = np.flatnonzero(bitmap.value.holds(marks)).tolist()
             yield pa.RecordBatch.from_pydict(
                 {
-                    "digest": pa.array([digests[k] for k in passed], type=pa.binary()),
-                    "shingles": pa.array([shingler.set_of(k).view(np.int64) for k in passed], type=pa.list_(pa.int64())),
+                    "digest": pa.array([shingler.digest(k) for k in range(len(texts))], type=pa.binary()),
+                    "shingles": pa.array(
+                        [shingler.set_of(k).view(np.int64) for k in range(len(texts))], type=pa.list_(pa.int64())
+                    ),
                 }
             )
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "digest binary, shingles array<long>")
+    marked = docs.select("doc_id", "text", F.xxhash64("doc_id"))
+    found = marked.mapInArrow(run, "digest binary, shingles array<long>")
     found = found.groupBy("digest").agg(F.first("shingles").alias("shingles"))
     return found.join(wanted.select("node", "digest").hint("merge"), "digest").select("node", "shingles")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import random
 import struct
+import tempfile
 
 import numpy as np
 import xxhash
@@ -171,3 +173,26 @@ def test_a_dense_group_needs_no_pairs_in_its_square(spark, monkeypatch):
     monkeypatch.setattr(token_join, "all_pairs", lambda *given: left.append(all_pairs(*given)) or left[-1])
     assert {r.component_id for r in token_join.link(df).collect()} == {0}
     assert left[0].isEmpty()
+
+
+def test_only_wanted_texts_are_cut_into_words(spark, folder, monkeypatch):
+    """Full sets are made of wanted ids alone; a text that shares an id gives no set of its own."""
+    seen = f"{folder}/seen"
+    os.makedirs(seen)
+
+    class Counting(token_join.Shingler):
+        def __init__(self, texts, settings):
+            super().__init__(texts, settings)
+            handle, _ = tempfile.mkstemp(dir=seen, prefix=f"{len(texts)}-")
+            os.close(handle)
+
+    texts = {k: " ".join(f"w{k}_{i}" for i in range(30)) for k in range(400)}
+    rows = [*texts.items(), (7, "another text of that id"), (None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    whole = token_join.Shingler(list(texts.values()), QUERY)
+    marks = [(n, bytearray(whole.digest(k)), k) for n, k in enumerate((7, 300))]
+    spark.createDataFrame(marks, "node long, digest binary, doc_id long").write.parquet(f"{folder}/wanted")
+    monkeypatch.setattr(token_join, "Shingler", Counting)
+    got = token_join.sets_of(df, spark.read.parquet(f"{folder}/wanted"), QUERY).collect()
+    assert {r.node: sorted(r.shingles) for r in got} == {n: sorted(whole.set_of(k).view(np.int64).tolist()) for n, _, k in marks}
+    assert 3 <= sum(int(name.partition("-")[0]) for name in os.listdir(seen)) <= 6
