@@ -2,15 +2,21 @@
 
 The library's model encodes each piece (a match of the file's own split pattern).  Chunks of
 letters below U+0250 are normalised and split here, where NFC changes nothing and letter classes
-agree between libraries; any other chunk goes through the whole library.
+agree between libraries; any other chunk goes through the whole library.  Where white space is in
+no piece, Arrow splits whole texts of such letters, and Python sees only their distinct pieces.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from .chunks import ChunkEncoder, forget, packed, splitter
 
 #: How byte-level vocabularies write a byte: printable ones as they are, the others from
@@ -23,7 +29,16 @@ BYTE_TEXT = {b: chr(b) for b in _SHOWN} | {
 #: The split that a ByteLevel pre-tokenizer makes when its file gives no pattern (fixed value).
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: The pattern of a word vocabulary (fixed by its file): white space is in no piece.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: For Arrow: white space below U+0250; the pieces that are no run of letters, which need a space on both sides; and
+#: what is not plain, from U+0250 on and the one letter below whose lower case has two.
+SPACE = r"\t-\r \x{85}\x{a0}"
+APART = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+NOT_PLAIN = r"[^\x{0}-\x{12f}\x{131}-\x{24f}]"
+
 PIECES = 200_000
+WORDS = 400_000
 PLAIN_END = "ɐ"
 
 
@@ -44,6 +59,7 @@ class LibraryChunks:
         ]
         self.find = splitter(patterns[0] if patterns else BYTE_LEVEL_PATTERN)
         self.lower = "Lowercase" in json.dumps(spec.get("normalizer"))
+        self.words = self.lower and patterns == [WORD_PATTERN]
         self.tokenize = self.whole.model.tokenize
         self.bytes_of = [packed([k]) for k in range(self.whole.get_vocab_size())]
         self.pieces: dict[str, bytes] = {}
@@ -71,7 +87,42 @@ class LibraryChunks:
         return out
 
 
+class WordEncoder:
+    """Gives the bytes of the ids of texts under ``WORD_PATTERN``; texts that are not plain go chunk by chunk."""
+
+    def __init__(self, library: LibraryChunks, memo: int = WORDS):
+        self.piece, self.others, self.limit = library._piece, ChunkEncoder(library), memo
+        self.known: dict[str, bytes] = {}
+
+    def _plain(self, texts: pa.Array) -> list[bytes]:
+        spaced = pc.utf8_lower(pc.replace_substring_regex(texts, pattern=f"[{SPACE}]", replacement=" "))
+        lists = pc.split_pattern(pc.replace_substring_regex(spaced, pattern=APART, replacement=r" \0 "), " ")
+        coded = lists.flatten().dictionary_encode()
+        # The empty piece between two spaces has no ids.
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        values = list(map(self.known.get, pieces))
+        added = {}
+        for k, value in enumerate(values):
+            if value is None:
+                values[k] = added[pieces[k]] = self.piece(pieces[k])
+        if len(self.known) + len(added) <= self.limit:
+            self.known.update(added)
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        found = pa.array(values, pa.large_binary()).take(coded.indices)
+        places = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])[ends].tolist()
+        data = memoryview(found.buffers()[2] or b"")
+        return [bytes(data[low:high]) for low, high in zip(places, places[1:], strict=False)]
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        column = pa.array(texts, pa.large_string())
+        other = pc.match_substring_regex(column, NOT_PLAIN)
+        plain, other = iter(self._plain(column.filter(pc.invert(other)))), other.to_pylist()
+        rest = iter(self.others([text for text, is_other in zip(texts, other, strict=True) if is_other]))
+        return [next(rest if is_other else plain) for is_other in other]
+
+
 @lru_cache(maxsize=4)
-def library_encoder(path: str) -> ChunkEncoder:
+def library_encoder(path: str) -> Callable[[list[str]], list[bytes]]:
     """One encoder for each worker and vocabulary file."""
-    return ChunkEncoder(LibraryChunks(path))
+    library = LibraryChunks(path)
+    return WordEncoder(library) if library.words else ChunkEncoder(library)

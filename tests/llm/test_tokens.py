@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from tallymatch.llm import bit_planes, byte_bpe, packing
 from tallymatch.llm.chunks import ChunkEncoder, cut
-from tallymatch.llm.library_tokens import LibraryChunks
+from tallymatch.llm.library_tokens import LibraryChunks, WordEncoder, library_encoder
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +62,39 @@ def test_chunks_are_the_library(text, name):
     assert LIBRARY[name]([text, text + " x"])[0] == as_bytes(library(name)(text))
 
 
+WORDS = WordEncoder(LibraryChunks(P.path("word_bpe_49k.json")), memo=20)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(ODD | st.text(st.characters(max_codepoint=0x24F), max_size=40), max_size=4))
+def test_words_are_the_library(texts):
+    encode = library("word_bpe_49k.json")
+    assert WORDS(texts) == [as_bytes(encode(t)) for t in texts]
+
+
+def test_words_of_every_plain_character():
+    """Case, letters, numbers and white space as the library has them, beside letters, digits, quotes, spaces, itself."""
+    encode = library("word_bpe_49k.json")
+    texts = [f"a{c}b {c} 1{c}2 '{c}s's{c}{c} -{c}'LL'{c}" for c in map(chr, range(0x252))]
+    assert WORDS(texts) == [as_bytes(encode(t)) for t in texts]
+
+
+def test_plain_texts_meet_python_once_a_piece(monkeypatch):
+    """Arrow splits whole plain texts: no chunk is searched, and each distinct piece is encoded once."""
+    seen, piece = [], LibraryChunks._piece
+
+    def chunk_by_chunk(self, chunks):
+        assert not chunks
+        return []
+
+    monkeypatch.setattr(LibraryChunks, "__call__", chunk_by_chunk)
+    monkeypatch.setattr(LibraryChunks, "_piece", lambda self, p: seen.append(p) or piece(self, p))
+    encode = library_encoder.__wrapped__(P.path("word_bpe_49k.json"))
+    text = "The fox, the FOX; it's 1 fox\n" * 50
+    assert encode([text, "", text]) == [as_bytes(library("word_bpe_49k.json")(t)) for t in (text, "", text)]
+    assert sorted(seen) == sorted({"", "the", "fox", ",", ";", "it", "'s", "1"})
+
+
 def test_replay_goes_back_to_an_earlier_rank():
     """A merge may make a pair whose rank is lower than its own."""
 
