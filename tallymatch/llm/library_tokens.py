@@ -3,7 +3,7 @@
 The library's model encodes each piece (a match of the file's own split pattern).  Chunks of
 letters below U+0250 are normalised and split here, where NFC changes nothing and letter classes
 agree between libraries; any other chunk goes through the whole library.  Where white space is in
-no piece, Arrow splits whole texts of such letters, and Python sees only their distinct pieces.
+no piece, Arrow splits whole texts; Python sees their distinct pieces, and words with other letters.
 """
 
 from __future__ import annotations
@@ -88,37 +88,66 @@ class LibraryChunks:
 
 
 class WordEncoder:
-    """Gives the bytes of the ids of texts under ``WORD_PATTERN``; texts that are not plain go chunk by chunk."""
+    """Gives the bytes of the ids of texts under ``WORD_PATTERN``."""
 
     def __init__(self, library: LibraryChunks, memo: int = WORDS):
-        self.piece, self.others, self.limit = library._piece, ChunkEncoder(library), memo
-        self.known: dict[str, bytes] = {}
+        self.piece, self.whole, self.limit = library._piece, library.whole, memo
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        return packed(self.whole.encode(word, add_special_tokens=False).ids)
+
+    def _known(self, memo: dict[str, bytes], keys: list[str], encode: Callable[[str], bytes]) -> list[bytes]:
+        """The bytes of distinct pieces or words."""
+        values, added = list(map(memo.get, keys)), {}
+        for k, value in enumerate(values):
+            if value is None:
+                values[k] = added[keys[k]] = encode(keys[k])
+        if len(memo) + len(added) <= self.limit:
+            memo.update(added)
+        return values
 
     def _plain(self, texts: pa.Array) -> list[bytes]:
         spaced = pc.utf8_lower(pc.replace_substring_regex(texts, pattern=f"[{SPACE}]", replacement=" "))
         lists = pc.split_pattern(pc.replace_substring_regex(spaced, pattern=APART, replacement=r" \0 "), " ")
         coded = lists.flatten().dictionary_encode()
         # The empty piece between two spaces has no ids.
-        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        values = list(map(self.known.get, pieces))
-        added = {}
-        for k, value in enumerate(values):
-            if value is None:
-                values[k] = added[pieces[k]] = self.piece(pieces[k])
-        if len(self.known) + len(added) <= self.limit:
-            self.known.update(added)
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-        found = pa.array(values, pa.large_binary()).take(coded.indices)
-        places = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])[ends].tolist()
-        data = memoryview(found.buffers()[2] or b"")
-        return [bytes(data[low:high]) for low, high in zip(places, places[1:], strict=False)]
+        values = self._known(self.pieces, _strings(coded.dictionary), self.piece)
+        return _joined(values, coded.indices, lists)
+
+    def _mixed(self, texts: pa.Array) -> list[bytes]:
+        """Cut at white space, where every piece ends; only words that are not plain go through the whole library."""
+        spaced = pc.replace_substring_regex(texts, pattern=r"[\t-\r]", replacement=" ")
+        lists = pc.split_pattern(spaced, " ")
+        coded = lists.flatten().dictionary_encode()
+        other = pc.match_substring_regex(coded.dictionary, NOT_PLAIN)
+        words = _strings(coded.dictionary.filter(other))
+        plain = self._plain(coded.dictionary.filter(pc.invert(other)))
+        return _joined(_merged(other, self._known(self.words, words, self._word), plain), coded.indices, lists)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         column = pa.array(texts, pa.large_string())
         other = pc.match_substring_regex(column, NOT_PLAIN)
-        plain, other = iter(self._plain(column.filter(pc.invert(other)))), other.to_pylist()
-        rest = iter(self.others([text for text, is_other in zip(texts, other, strict=True) if is_other]))
-        return [next(rest if is_other else plain) for is_other in other]
+        return _merged(other, self._mixed(column.filter(other)), self._plain(column.filter(pc.invert(other))))
+
+
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
+def _merged(which: pa.Array, where_true: list[bytes], where_false: list[bytes]) -> list[bytes]:
+    true, false = iter(where_true), iter(where_false)
+    return [next(true if w else false) for w in which.to_numpy(zero_copy_only=False).tolist()]
+
+
+def _joined(values: list[bytes], indices: pa.Array, lists: pa.ListArray) -> list[bytes]:
+    """For each list, the values at the indices of its elements, one after the other."""
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    found = pa.array(values, pa.large_binary()).take(indices)
+    places = np.concatenate([[0], np.cumsum(pc.binary_length(found).to_numpy())])[ends].tolist()
+    data = memoryview(found.buffers()[2] or b"")
+    return [bytes(data[low:high]) for low, high in zip(places, places[1:], strict=False)]
 
 
 @lru_cache(maxsize=4)

@@ -95,6 +95,16 @@ def test_plain_texts_meet_python_once_a_piece(monkeypatch):
     assert sorted(seen) == sorted({"", "the", "fox", ",", ";", "it", "'s", "1"})
 
 
+def test_a_strange_word_does_not_slow_its_text(monkeypatch):
+    """Only words with characters that are not plain go through the whole library, each once."""
+    seen, word = [], WordEncoder._word
+    monkeypatch.setattr(WordEncoder, "_word", lambda self, w: seen.append(w) or word(self, w))
+    encode = library_encoder.__wrapped__(P.path("word_bpe_49k.json"))
+    texts = ["Größe “so” the fox\nІ the “so” fox’s", "the fox", "\u0301x the a\u3000b İ"]
+    assert encode(texts) == [as_bytes(library("word_bpe_49k.json")(t)) for t in texts]
+    assert sorted(seen) == sorted({"“so”", "І", "fox’s", "\u0301x", "a\u3000b", "İ"})
+
+
 def test_replay_goes_back_to_an_earlier_rank():
     """A merge may make a pair whose rank is lower than its own."""
 
